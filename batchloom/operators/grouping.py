@@ -27,22 +27,30 @@ def sequence_in_group(
     order: Sequence[str],
     out: str = "seq",
     max_group_rows: int = 2_000_000,
+    slices: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1 in ``order``; a NULL group value is a group.
 
     The input is written once, and its largest group measured with a pre-aggregated count. Up to
     ``max_group_rows`` a plain window does. Beyond that the rows are range-partitioned on group and
     order, numbered per slice, and shifted by the rows of the same group in earlier slices, so a
-    group of any size is spread over many tasks.
+    group of any size is spread over many tasks. ``slices`` asks for that way with so many slices.
     """
+    if slices:
+        return _sequence_by_slices(df, group, order, out, slices)
     staged = materialise(df, "sequence")
     sizes = staged.groupBy(*group).agg(F.count("*").alias("rows"))
     measured = sizes.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
     if (measured["largest"] or 0) <= max_group_rows:
         return staged.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
 
-    slices = -(-measured["total"] // max_group_rows) * 2
-    ranged = staged.repartitionByRange(slices, *group, *order).withColumn("_slice", F.spark_partition_id())
+    return _sequence_by_slices(staged, group, order, out, -(-measured["total"] // max_group_rows) * 2)
+
+
+def _sequence_by_slices(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, slices: int
+) -> DataFrame:
+    ranged = df.repartitionByRange(slices, *group, *order).withColumn("_slice", F.spark_partition_id())
     # spark_partition_id() would be drawn again on a second read, hence the written copy.
     cut = materialise(ranged, "sequence-slices")
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -498,12 +498,12 @@ def stream_harvest(spark, sf):
 
 @query
 def stream_incremental(spark, sf):
-    """Events arrive twice; each user without a signup is selected once."""
+    """Events arrive twice; each user that is not a customer of one segment is selected once."""
     folder, state = work_path(spark, "arriving"), work_path(spark, "state")
     target, selected = work_path(spark, "target"), work_path(spark, "selected")
     events = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    signed = table(spark, sf, "events").where("event_type = 'signup'").select("user_id").distinct()
-    signed.write.parquet(target)
+    known = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")
+    known.select(F.col("c_custkey").alias("user_id")).write.parquet(target)
     for _ in range(2):
         events.write.mode("append").parquet(folder)
         harvest.stream_incremental(
@@ -571,7 +571,7 @@ def sequence_sliced(spark, sf):
     """The numbering of the master's groups on the path that splits large groups."""
     union = channels.dedupe_results(channels.union_channels(ai_tables(spark, sf)))
     parsed = channels.parse_product_json(union).select(S.BRAND, S.CAT_CODE, "platform", "source_key")
-    return grouping.sequence_in_group(parsed, [S.BRAND, S.CAT_CODE], ["platform", "source_key"], max_group_rows=10)
+    return grouping.sequence_in_group(parsed, [S.BRAND, S.CAT_CODE], ["platform", "source_key"], slices=16)
 
 
 @query
