@@ -37,7 +37,7 @@ def _midpoint(x: str) -> str:
 
 def _round(x: str, digits: int) -> str:
     """Half-up rounding of a double's shortest decimal form."""
-    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
 def _json(field: str) -> str:
