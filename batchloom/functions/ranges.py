@@ -2,34 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchloom.functions.text import is_blank, strip, to_number
+from batchloom.functions.text import SPACE, strip, to_number
 
-# The shape of a range and its ten-thousand marker.
-RANGE = r"(?U)^([\d.]+)(万)?\s*~\s*([\d.]+)(万)?"
+# The shape of a range, its ten-thousand marker, and the marks that are dropped.
+RANGE = rf"(?s)^([0-9.]+)(万)?[{SPACE}]*~[{SPACE}]*([0-9.]+)(万)?.*$"
 TEN_THOUSAND = 10000.0
+DROPPED = ",￥%"
 
 _WIDE_DIGITS = "０１２３４５６７８９"
+_MARK = "\x01"
 
 
-def range_midpoint(col: Column) -> Column:
-    """Middle of a range, or the number itself; NULL for blank or unreadable text.
+def normalise_ranges(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add the number each text column stands for; ``columns`` maps new names to text columns.
 
-    Currency, percent and thousands marks are dropped. Each end has its own ten-thousand marker;
-    a single number with that marker is not a range and not a plain number, so it is NULL.
+    A range becomes its middle, where each end has its own ten-thousand marker, and any other text
+    the number it spells. Blank or unreadable text is NULL, as is a single number with a
+    ten-thousand marker. Works in three projections, so that each text is cleaned and matched once.
     """
-    clean = strip(F.translate(col, _WIDE_DIGITS + ",￥%", "0123456789"))
-    low, high = _end(clean, 1), _end(clean, 3)
-    value = F.when(clean.rlike(RANGE), (low + high) / F.lit(2.0)).otherwise(to_number(clean))
-    return F.when(~is_blank(col), value)
+    clean = {f"_clean_{n}": strip(F.translate(c, _WIDE_DIGITS + DROPPED, "0123456789")) for n, c in columns.items()}
+    parts = {
+        f"_parts_{n}": F.split(F.regexp_replace(f"_clean_{n}", RANGE, _MARK.join(["$1", "$2", "$3", "$4"])), _MARK)
+        for n in columns
+    }
+    values = {n: _value(F.col(f"_clean_{n}"), F.col(f"_parts_{n}")) for n in columns}
+    return df.withColumns(clean).withColumns(parts).withColumns(values).drop(*clean, *parts)
+
+
+def _value(clean: Column, parts: Column) -> Column:
+    middle = (_end(parts, 0) + _end(parts, 2)) / F.lit(2.0)
+    return F.when(F.size(parts) == 4, middle).otherwise(to_number(clean))
 
 
-def _end(clean: Column, group: int) -> Column:
-    number = to_number(F.regexp_extract(clean, RANGE, group))
-    factor = F.when(F.regexp_extract(clean, RANGE, group + 1) == "万", TEN_THOUSAND).otherwise(1.0)
-    return number * factor
+def _end(parts: Column, index: int) -> Column:
+    number = F.get(parts, F.lit(index)).try_cast("double")
+    return number * F.when(F.get(parts, F.lit(index + 1)) == "万", TEN_THOUSAND).otherwise(1.0)
 
 
 def within(col: Column, below: float | None = None, at_most: float | None = None) -> Column:

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as a regex character class: tab..CR, the four separators, NEL and every Unicode
-# separator. Spark's trim() knows U+0020 only.
+# All Unicode whitespace, as a regex class and as characters. Spark's plain trim()
+# knows U+0020 only.
 SPACE = r"\t-\r\x1c-\x1f\x85\p{Z}"
+SPACE_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _INTEGER = r"^[+-]?[0-9]+$"
@@ -19,11 +23,11 @@ def as_text(col: Column) -> Column:
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.trim(col, F.lit(SPACE_CHARACTERS))
 
 
 def is_blank(col: Column) -> Column:
-    """NULL, empty or whitespace only."""
+    """NULL, empty or whitespace only. The search stops at the first visible character."""
     return F.coalesce(~col.rlike(f"[^{SPACE}]"), F.lit(True))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchloom import schemas as S
-from batchloom.functions.ranges import nonzero, range_midpoint, within
+from batchloom.functions.ranges import nonzero, normalise_ranges, within
 from batchloom.functions.text import to_integer, to_number
 from batchloom.operators.grouping import sequence_in_group
 
@@ -191,10 +191,11 @@ def standardise_channel(sales: DataFrame, spec: ChannelSpec) -> DataFrame:
     """One channel's sales table as (channel, key, six metrics, precision)."""
     metrics: dict[str, Column] = {m: F.lit(None).cast("double") for m in S.METRICS}
     metrics |= {m: to_number(F.col(c)) for m, c in spec.exact.items()}
-    metrics |= {m: range_midpoint(F.col(c)) for m, c in spec.midpoint.items()}
+    metrics |= {m: F.col(f"_{m}") for m in spec.midpoint}
     if spec.rank:
         metrics[S.RANK] = to_integer(F.col(spec.rank)).cast("double")
-    typed = sales.select(
+    ranged = normalise_ranges(sales, {f"_{m}": c for m, c in spec.midpoint.items()}) if spec.midpoint else sales
+    typed = ranged.select(
         F.lit(spec.channel).alias(S.CHANNEL),
         F.col(spec.key).cast("string").alias(S.SOURCE_KEY),
         *[metrics[m].alias(m) for m in S.METRICS],

@@ -585,18 +585,16 @@ def channel_summary(spark, sf):
 def range_midpoints(spark, sf):
     names = ["amount_range", "count_range", "price_range", "visits_range", "conv_range"]
     rows = recipe(spark, sf, "f_sales_de")
-    return rows.select("region", "item_key", *[ranges.range_midpoint(F.col(c)).alias(c) for c in names])
+    return ranges.normalise_ranges(rows, {c: c for c in names}).select("region", "item_key", *names)
 
 
 @query
 def range_rules(spark, sf):
-    rows = recipe(spark, sf, "f_sales_de").select(
-        "region", "item_key",
-        ranges.range_midpoint(F.col("price_range")).alias(S.PRICE),
-        ranges.range_midpoint(F.col("conv_range")).alias(S.CONVERSION),
-        text.to_integer(F.col("rank_no")).cast("double").alias(S.RANK),
-    )
-    return channels.bound_metrics(rows)
+    rows = ranges.normalise_ranges(
+        recipe(spark, sf, "f_sales_de"), {S.PRICE: "price_range", S.CONVERSION: "conv_range"}
+    )
+    ranked = rows.withColumn(S.RANK, text.to_integer(F.col("rank_no")).cast("double"))
+    return channels.bound_metrics(ranked).select("region", "item_key", S.PRICE, S.CONVERSION, S.RANK)
 
 
 @query
