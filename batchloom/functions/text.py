@@ -28,12 +28,12 @@ def strip(col: Column) -> Column:
 
 def is_blank(col: Column) -> Column:
     """NULL, empty or whitespace only. The search stops at the first visible character."""
-    return F.coalesce(~col.rlike(f"[^{SPACE}]"), F.lit(True))
+    return col.isNull() | ~col.rlike(f"[^{SPACE}]")
 
 
 def has_value(col: Column) -> Column:
     """Neither NULL, nor empty, nor the literal text 'null'."""
-    return F.coalesce(~col.isin("", "null"), F.lit(False))
+    return col.isNotNull() & ~col.isin("", "null")
 
 
 def to_number(col: Column) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The estimate's constants.
@@ -60,14 +60,17 @@ def _is_unique(df: DataFrame, column: str, rows: int) -> bool:
 
 def run_stats(
     source: str,
-    requests: DataFrame,
+    selected: DataFrame,
     results: DataFrame,
     errors: DataFrame,
     written: DataFrame,
-    batch_id: Column | None = None,
+    labels: Mapping[str, str | float | None],
 ) -> DataFrame:
-    """Counts of one source's run as one row."""
-    counted = [("source_rows", requests), ("success_count", results), ("error_count", errors), ("written_rows", written)]
+    """Counts of one source's run as one row; ``labels`` are provider, model and the like.
+
+    A run that selected nothing has the status skipped.
+    """
+    counted = [("source_rows", selected), ("success_count", results), ("error_count", errors), ("written_rows", written)]
     parts = [
         df.agg(F.count("*").alias("n")).select(
             F.lit(source).alias("source"), *[(F.col("n") if k == name else F.lit(0)).alias(k) for k, _ in counted]
@@ -77,7 +80,9 @@ def run_stats(
     total = parts[0]
     for part in parts[1:]:
         total = total.unionByName(part)
-    return total.groupBy("source").agg(*[F.sum(k).alias(k) for k, _ in counted])
+    counts = total.groupBy("source").agg(*[F.sum(k).alias(k) for k, _ in counted])
+    status = F.when(F.col("source_rows") > 0, "completed").otherwise("skipped")
+    return counts.withColumns({k: F.lit(v) for k, v in labels.items()}).withColumn("batch_status", status)
 
 
 def total_stats(per_source: Sequence[DataFrame]) -> DataFrame:
@@ -85,6 +90,6 @@ def total_stats(per_source: Sequence[DataFrame]) -> DataFrame:
     every = per_source[0]
     for stats in per_source[1:]:
         every = every.unionByName(stats)
-    counts = [c for c in every.columns if c != "source"]
+    counts = ["source_rows", "success_count", "error_count", "written_rows"]
     total = every.agg(*[F.sum(c).alias(c) for c in counts]).withColumn("source", F.lit("total"))
-    return every.unionByName(total)
+    return every.unionByName(total, allowMissingColumns=True)

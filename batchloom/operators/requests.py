@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from batchloom.functions.ids import request_id
@@ -92,23 +92,33 @@ def drop_oversized(df: DataFrame, line_col: str = "request", max_bytes: int = MA
 def dedupe_requests(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first copy of each request.
 
-    Groups by the key columns rather than the id they map to one-to-one, so that the partitioning
-    of a preceding anti-join on the same keys is used again and the text is shuffled once.
+    Groups by the key columns rather than the id they map to one-to-one: an anti-join on the same
+    keys that follows uses the same partitioning, and the text is shuffled once. It comes before
+    that join, since the copies of a frequent key are then cut down before the shuffle.
     """
     return keep_first(df, keys, order)
 
 
-def first_requests(
-    rows: DataFrame, keys: Sequence[str], text_col: str, options: RequestOptions, order: Sequence[str]
-) -> DataFrame:
-    """Requests before the size check: full keys only, then no blank text, then first copies."""
+def first_copies(rows: DataFrame, keys: Sequence[str], text_col: str, order: Sequence[str] = ()) -> DataFrame:
+    """Rows that can become requests: full keys only, then no blank text, then first copies."""
     complete, _ = split_null_keys(rows, keys)
-    first = dedupe_requests(drop_blank_text(complete, text_col), keys, order)
-    content = render_prompt(as_text(F.col(text_col)), options.user_prompt)
-    message = F.struct(F.lit("user").alias("role"), content.alias("content"))
-    return first.withColumn("custom_id", request_id(keys)).withColumn(
-        "request", request_line(F.col("custom_id"), message, options, system=True)
-    )
+    return dedupe_requests(drop_blank_text(complete, text_col), keys, order or [text_col])
+
+
+def render_requests(
+    rows: DataFrame,
+    keys: Sequence[str],
+    text_col: str,
+    options: RequestOptions,
+    max_bytes: int = MAX_LINE_BYTES,
+) -> DataFrame:
+    """Rows with unique keys as (keys, source_text, custom_id, request), oversized ones dropped."""
+    text = as_text(F.col(text_col))
+    message = F.struct(F.lit("user").alias("role"), render_prompt(text, options.user_prompt).alias("content"))
+    stamped = rows.select(*keys, text.alias("source_text"), request_id(keys).alias("custom_id"), text_col)
+    line = request_line(F.col("custom_id"), message, options, system=True)
+    built = stamped.withColumn("request", line).select(*keys, "source_text", "custom_id", "request")
+    return drop_oversized(built, max_bytes=max_bytes)
 
 
 def build_requests(
@@ -124,9 +134,7 @@ def build_requests(
     ``order`` decides which copy of a key wins. The size check comes last: an oversized first copy
     still blocks a smaller later one.
     """
-    built = first_requests(rows, keys, text_col, options, order or [text_col])
-    shaped = built.select(*keys, as_text(F.col(text_col)).alias("source_text"), "custom_id", "request")
-    return drop_oversized(shaped, max_bytes=max_bytes)
+    return render_requests(first_copies(rows, keys, text_col, order), keys, text_col, options, max_bytes)
 
 
 def skip_accounting(
@@ -145,7 +153,7 @@ def skip_accounting(
         F.count_if(complete & blank).alias("blank_text"),
         F.count_if(complete & ~blank).alias("duplicate"),
     )
-    first = first_requests(rows, keys, text_col, options, order or [text_col])
+    first = render_requests(first_copies(rows, keys, text_col, order), keys, text_col, options, 2**31 - 1)
     fits = F.octet_length("request") <= max_bytes
     kept = first.agg(
         (-F.count("*")).alias("duplicate"), F.count_if(~fits).alias("oversized"), F.count_if(fits).alias("ready")
@@ -215,6 +223,7 @@ def shard_requests(
     Ids are unique, so hash buckets are even; within a bucket a running sum of bytes cuts the
     shards. A shard opens on a multiple of (cap - longest line), so its last line still fits.
     Bucket count follows the measured total size: a bucket is one task's work at any scale.
+    ``requests`` is read twice for that and should be a stored table.
     """
     if max_bytes <= max_line_bytes + 1:
         raise ValueError("a shard must hold at least one line of the largest size")
@@ -237,6 +246,8 @@ def write_requests(sharded: DataFrame, path: str, line_col: str = "request", mod
     All shards of a bucket sit in one partition already, so each shard is written by one task
     without another shuffle. An empty set of requests is an error, as there is nothing to send.
     """
-    if sharded.isEmpty():
+    seen = Observation()
+    lines = sharded.select("shard", F.col(line_col).alias("value")).observe(seen, F.count(F.lit(1)).alias("lines"))
+    lines.write.mode(mode).partitionBy("shard").text(path)
+    if not seen.get["lines"]:
         raise ValueError("no valid requests: every row was skipped")
-    sharded.select("shard", F.col(line_col).alias("value")).write.mode(mode).partitionBy("shard").text(path)

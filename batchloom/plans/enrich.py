@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -54,14 +55,21 @@ def column_scorer(line: Column, kind: Column | None = None) -> Scorer:
 class Run:
     """What one run built, got back and will write, as DataFrames."""
 
+    selected: DataFrame
     requests: DataFrame
     results: DataFrame
     errors: DataFrame
     quarantine: DataFrame
     rows: DataFrame
+    labels: dict[str, str]
 
-    def stats(self, source: str) -> DataFrame:
-        return planning.run_stats(source, self.requests, self.results, self.errors, self.rows)
+    def stats(self, source: str, elapsed_seconds: float | None = None) -> DataFrame:
+        labels = {**self.labels, "elapsed_seconds": elapsed_seconds}
+        return planning.run_stats(source, self.selected, self.results, self.errors, self.rows, labels)
+
+
+def _labels(options: RequestOptions, batch_id: str) -> dict[str, str]:
+    return {"provider": options.provider, "model": options.model, "batch_id": batch_id}
 
 
 def _score(built: DataFrame, scorer: Scorer, keep: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -101,9 +109,13 @@ def enrich(
 
     Rows that would be skipped are dropped before the row cap applies, so a cap cannot be used up
     by rows that are never sent. The new rows are in ``Run.rows``; see ``write_run``.
+
+    First copies are taken before processed keys are removed. Both go by key, so the result is the
+    same, and source rows are shuffled once, after the copies of each key were cut down to one.
     """
-    fresh = incremental.unprocessed_rows(source, target, keys, where)
-    built = requests.build_requests(fresh, keys, text_col, options, order)
+    wanted = source.where(F.expr(where)) if where else source
+    fresh = incremental.unprocessed_rows(requests.first_copies(wanted, keys, text_col, order), target, keys)
+    built = requests.render_requests(fresh, keys, text_col, options)
     if limit > 0:
         built = built.orderBy(*keys).limit(limit)
     sent, flat, errors, quarantine = _score(built, scorer, keep)
@@ -111,7 +123,9 @@ def enrich(
     audited = results.stamp_metadata(
         results.attach_request_context(flat, sent), options.provider, batch_id, at, include_raw
     )
-    return Run(sent, flat, errors, quarantine, results.table_results(audited, keys, result_column))
+    rows = results.table_results(audited, keys, result_column)
+    selected = sent if limit > 0 else incremental.unprocessed_rows(wanted.select(*keys), target, keys)
+    return Run(selected, sent, flat, errors, quarantine, rows, _labels(options, batch_id))
 
 
 def enrich_files(
@@ -138,7 +152,9 @@ def enrich_files(
     sent, flat, errors, quarantine = _score(built, scorer, keep)
     located = results.attach_file_metadata(flat, sent, volume, options.user_prompt)
     audited = results.stamp_metadata(located, options.provider, batch_id, at, include_raw)
-    return Run(sent, flat, errors, quarantine, results.file_results(audited, result_column))
+    rows = results.file_results(audited, result_column)
+    selected = sent if limit > 0 else fresh
+    return Run(selected, sent, flat, errors, quarantine, rows, _labels(options, batch_id))
 
 
 def write_run(run: Run, target: str, mode: str = "append", full_refresh: bool = False) -> None:
@@ -166,10 +182,11 @@ def enrich_all(runs: dict[str, Callable[[], Run]], write: Callable[[str, Run], N
     stats, failures = [], {}
     for name, start in runs.items():
         try:
+            began = time.monotonic()
             run = start()
             if write:
                 write(name, run)
-            stats.append(run.stats(name))
+            stats.append(run.stats(name, time.monotonic() - began))
         except Exception as error:  # noqa: BLE001 - sources are isolated from each other
             failures[name] = error
     if failures:

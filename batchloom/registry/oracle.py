@@ -554,12 +554,16 @@ ORACLE = {
         f"'stop' AS finish_reason, 'q' AS response_id, 'Describe this file' AS source_text, {_answer_body('bytes')} AS raw_response FROM filereq"
     ),
     "run_stats": (
-        f"WITH text_run AS (WITH {_ANSWERED} SELECT COUNT(*) AS source_rows, COUNT(*) FILTER (WHERE size <= 6000) AS success_count, "
-        "COUNT(*) FILTER (WHERE size > 6000) AS error_count, COUNT(*) FILTER (WHERE size <= 6000) AS written_rows FROM req), "
-        f"file_run AS (WITH {_FILE_RUN} SELECT COUNT(*) AS source_rows, COUNT(*) AS success_count, CAST(0 AS BIGINT) AS error_count, "
-        "COUNT(*) AS written_rows FROM filereq), both_runs AS (SELECT 'text' AS source, * FROM text_run UNION ALL SELECT 'files', * FROM file_run) "
+        f"WITH text_run AS (WITH {_ANSWERED} SELECT (SELECT COUNT(*) FROM fresh) AS source_rows, COUNT(*) FILTER (WHERE size <= 6000) AS success_count, "
+        "COUNT(*) FILTER (WHERE size > 6000) AS error_count, COUNT(*) FILTER (WHERE size <= 6000) AS written_rows, "
+        "'dashscope' AS provider, 'm1' AS model, 'batch-9' AS batch_id, 'completed' AS batch_status FROM req), "
+        f"file_run AS (WITH {_FILE_RUN} SELECT (SELECT COUNT(*) FROM f_files WHERE starts_with(relative_path, 'src') "
+        f"AND {_PATH_EXT} IN ('jpg', 'png', 'mp3', 'mov') AND relative_path NOT IN (SELECT file_path FROM f_done_files)) AS source_rows, "
+        "COUNT(*) AS success_count, CAST(0 AS BIGINT) AS error_count, COUNT(*) AS written_rows, 'zhipuai' AS provider, 'm2' AS model, "
+        "'batch-10' AS batch_id, 'completed' AS batch_status FROM filereq), "
+        "both_runs AS (SELECT 'text' AS source, * FROM text_run UNION ALL SELECT 'files', * FROM file_run) "
         "SELECT * FROM both_runs UNION ALL SELECT 'total', CAST(SUM(source_rows) AS BIGINT), CAST(SUM(success_count) AS BIGINT), "
-        "CAST(SUM(error_count) AS BIGINT), CAST(SUM(written_rows) AS BIGINT) FROM both_runs"
+        "CAST(SUM(error_count) AS BIGINT), CAST(SUM(written_rows) AS BIGINT), NULL, NULL, NULL, NULL FROM both_runs"
     ),
     "resume_batch": f"WITH {_AUDITED} SELECT * FROM audited",
     "preview_sample": (

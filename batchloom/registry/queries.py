@@ -14,7 +14,7 @@ from batchloom.operators.requests import RequestOptions
 from batchloom.plans import analytics, channels, enrich, quality
 from batchloom.registry.fixtures import ai_tables, recipe, sales_tables, stored, table
 from batchloom.sources import files, lines, tables
-from batchloom.storage import read_table, work_path
+from batchloom.storage import materialise, read_table, work_path
 from batchloom.streaming import harvest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,7 +206,8 @@ def skip_accounting(spark, sf):
 
 @query
 def request_shards(spark, sf):
-    sharded = requests.shard_requests(_requests(spark, sf), max_rows=40, max_bytes=100_000, max_line_bytes=50_000)
+    sent = materialise(_requests(spark, sf), "requests")
+    sharded = requests.shard_requests(sent, max_rows=40, max_bytes=100_000, max_line_bytes=50_000)
     return sharded.select("custom_id", "shard")
 
 
@@ -214,7 +215,7 @@ def request_shards(spark, sf):
 def request_jsonl(spark, sf):
     """Requests as written: every line of every shard file, read back as text."""
     path = work_path(spark, "jsonl")
-    sharded = requests.shard_requests(_requests(spark, sf), max_bytes=10_000_000)
+    sharded = requests.shard_requests(materialise(_requests(spark, sf), "requests"), max_bytes=10_000_000)
     requests.write_requests(sharded, path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
@@ -453,7 +454,7 @@ def enrich_files(spark, sf):
 @query
 def run_stats(spark, sf):
     runs = {"text": lambda: _text_run(spark, sf), "files": lambda: _file_run(spark, sf)}
-    return enrich.enrich_all(runs)
+    return enrich.enrich_all(runs).drop("elapsed_seconds")
 
 
 @query
@@ -507,7 +508,7 @@ def stream_incremental(spark, sf):
     for _ in range(2):
         events.write.mode("append").parquet(folder)
         harvest.stream_incremental(
-            spark, folder, events.schema, ["user_id"], "ts", target, selected, state
+            spark, folder, events.schema, ["user_id"], target, selected, state, ["ts"]
         ).awaitTermination()
     return spark.read.parquet(selected).select("user_id")
 

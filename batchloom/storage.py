@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 _local_folders: dict[str, str] = {}
 
@@ -59,11 +58,9 @@ def is_path(target: str) -> bool:
 def table_exists(spark: SparkSession, target: str) -> bool:
     if not is_path(target):
         return spark.catalog.tableExists(target)
-    try:
-        spark.read.parquet(target).schema
-        return True
-    except AnalysisException:
-        return False
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
 
 
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from batchloom.operators import incremental, results
+from batchloom.operators.grouping import keep_first
 from batchloom.sources.lines import RESULT_LINE, parse_lines, quarantined, usable
 from batchloom.storage import read_table, table_exists
 
@@ -64,30 +65,38 @@ def stream_incremental(
     folder: str,
     schema: T.StructType,
     keys: Sequence[str],
-    event_time: str,
     target: str,
     selected: str,
     checkpoint: str,
+    order: Sequence[str] = (),
+    event_time: str | None = None,
     lateness: str = "1 hour",
     trigger: dict[str, Any] = ONCE,
 ) -> StreamingQuery:
     """Select each arriving key once, if the target does not have it.
 
-    State holds the keys of the last ``lateness`` only. A repeat that comes later, or again after
-    a failed write, is caught by the anti-join with what was selected before.
+    Repeats within a micro-batch are reduced to the first in ``order``; repeats of earlier ones,
+    also after a failed write, are caught by the anti-join with what was selected before. That
+    keeps no state and loses no late row.
+
+    With ``event_time``, repeats within ``lateness`` are dropped from state before the joins, which
+    saves work on sources that repeat much. Spark then also drops rows that come later than that:
+    they are left to the next batch run.
     """
     rows = spark.readStream.schema(schema).parquet(folder)
-    timed = rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    once = timed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
+    if event_time:
+        timed = rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
+        rows = timed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
     def take(batch: DataFrame, _epoch: int) -> None:
         session = batch.sparkSession
+        batch = keep_first(batch, keys, order or keys)
         for known in (target, selected):
             held = read_table(session, known) if table_exists(session, known) else None
             batch = incremental.unprocessed_rows(batch, held, keys)
         batch.write.mode("append").parquet(selected)
 
-    writer = once.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
 
 
