@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from batchloom.operators.grouping import take_first
 from batchloom.sources.files import filter_extensions, filter_prefix
 
 
@@ -35,7 +36,7 @@ def unprocessed_rows(
     if target is not None:
         done = target.select(*[_as_source_type(source, target, k) for k in keys]).distinct()
         rows = rows.join(done, list(keys), "left_anti")
-    return rows.orderBy(*keys).limit(limit) if limit > 0 else rows
+    return take_first(rows, keys, limit) if limit > 0 else rows
 
 
 def _as_source_type(source: DataFrame, target: DataFrame, key: str) -> Column:
@@ -58,4 +59,4 @@ def unprocessed_files(
     if target is not None and "file_path" in target.columns:
         done = target.where(F.col("file_path") != "").select(F.col("file_path").alias("relative_path")).distinct()
         rows = rows.join(done, "relative_path", "left_anti")
-    return rows.orderBy("relative_path").limit(limit) if limit > 0 else rows
+    return take_first(rows, ["relative_path"], limit) if limit > 0 else rows

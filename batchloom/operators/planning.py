@@ -40,7 +40,7 @@ def plan_profile(df: DataFrame) -> DataFrame:
     near = [c for i, c in enumerate(columns) if first[f"near_{i}"] >= 0.9 * rows]
     exact = {}
     for c in near:
-        exact[c] = _is_unique(df, c, rows)
+        exact[c] = _is_unique(df, c, c in texts, rows)
     chars = {c: first[f"chars_{i}"] or 0.0 for i, c in enumerate(texts)}
     longest = max(chars, key=lambda c: chars[c], default=None)
     described = [
@@ -54,8 +54,10 @@ def plan_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def _is_unique(df: DataFrame, column: str, rows: int) -> bool:
-    return df.agg(F.count_distinct(column)).first()[0] == rows
+def _is_unique(df: DataFrame, column: str, is_text: bool, rows: int) -> bool:
+    """Exact uniqueness; long text is shuffled as a 16-byte digest."""
+    value = F.unhex(F.md5(column)) if is_text else F.col(column)
+    return df.agg(F.count_distinct(value)).first()[0] == rows
 
 
 def run_stats(

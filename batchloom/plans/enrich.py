@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from batchloom import schemas
 from batchloom.functions.media import media_type
 from batchloom.operators import incremental, planning, requests, results
+from batchloom.operators.grouping import take_first
 from batchloom.operators.ledger import find_job
 from batchloom.operators.requests import RequestOptions
 from batchloom.operators.sinks import append_results, idempotent_append, new_batches
@@ -117,7 +118,7 @@ def enrich(
     fresh = incremental.unprocessed_rows(requests.first_copies(wanted, keys, text_col, order), target, keys)
     built = requests.render_requests(fresh, keys, text_col, options)
     if limit > 0:
-        built = built.orderBy(*keys).limit(limit)
+        built = take_first(built, keys, limit)
     sent, flat, errors, quarantine = _score(built, scorer, keep)
     flat = results.only_status(flat, status)
     audited = results.stamp_metadata(
@@ -148,7 +149,7 @@ def enrich_files(
     fresh = incremental.unprocessed_files(files, target, extensions, prefix)
     built = requests.build_media_requests(attach_urls(fresh, urls), options)
     if limit > 0:
-        built = built.orderBy("relative_path").limit(limit)
+        built = take_first(built, ["relative_path"], limit)
     sent, flat, errors, quarantine = _score(built, scorer, keep)
     located = results.attach_file_metadata(flat, sent, volume, options.user_prompt)
     audited = results.stamp_metadata(located, options.provider, batch_id, at, include_raw)

@@ -19,6 +19,7 @@ PRICE_ALARM = 1000
 CONVERSION_ALARM = 100
 AUDIT_BANDS = [50, 100, 200, 500, 1000]
 SIGNED_METRICS = [S.SALES, S.VOLUME, S.PRICE, S.TRAFFIC]
+NULL_COUNTS = dict(zip(S.METRICS, ["n_sales", "n_vol", "n_price", "n_traffic", "n_conv", "n_rank"]))
 
 
 def price_anomalies(summary: DataFrame, above: float = PRICE_ALARM, n: int = 10) -> DataFrame:
@@ -48,9 +49,8 @@ def negative_values(summary: DataFrame, metrics: Sequence[str] = SIGNED_METRICS)
 
 def null_rates(summary: DataFrame) -> DataFrame:
     """NULLs per metric and channel, all in one scan."""
-    names = dict(zip(S.METRICS, ["n_sales", "n_vol", "n_price", "n_traffic", "n_conv", "n_rank"]))
     return summary.groupBy(S.CHANNEL).agg(
-        F.count("*").alias("total"), *[F.count_if(F.col(m).isNull()).alias(a) for m, a in names.items()]
+        F.count("*").alias("total"), *[F.count_if(F.col(m).isNull()).alias(a) for m, a in NULL_COUNTS.items()]
     )
 
 
@@ -99,6 +99,41 @@ def master_completeness(master: DataFrame) -> DataFrame:
     )
 
 
+def audit_counts(
+    summary: DataFrame, channel: str = MAIN_CHANNEL, edges: Sequence[int] = AUDIT_BANDS
+) -> DataFrame:
+    """Empty brands, negatives, NULLs and price bands as findings, from one scan.
+
+    Everything is counted per channel at once; the few resulting rows are then spread into
+    findings and added up per subject.
+    """
+    price = F.col(S.PRICE)
+    counted = {"empty_brand": F.count_if(~has_value(F.col(S.BRAND)))}
+    counted |= {f"negative {m}": F.count_if(F.col(m) < 0) for m in SIGNED_METRICS}
+    counted |= {f"null_count {a}": F.count_if(F.col(m).isNull()) for m, a in NULL_COUNTS.items()}
+    lows, highs = [None, *edges], [*edges, None]
+    for low, high in zip(lows, highs):
+        inside = (F.col(S.CHANNEL) == channel) & price.isNotNull()
+        inside = inside & (price >= low) if low is not None else inside
+        inside = inside & (price < high) if high is not None else inside
+        counted[f"price_band {f'{low}+' if high is None else f'{low or 0}-{high}'}"] = F.count_if(inside)
+    per_channel = summary.groupBy(S.CHANNEL).agg(*[c.alias(n) for n, c in counted.items()])
+    spread = per_channel.unpivot([S.CHANNEL], list(counted), "counter", "rows")
+    check = F.substring_index("counter", " ", 1)
+    item = F.substring_index("counter", " ", -1)
+    subject = (
+        F.when(check == "empty_brand", F.col(S.CHANNEL))
+        .when(check == "null_count", F.concat_ws("/", S.CHANNEL, item))
+        .otherwise(item)
+    )
+    summed = spread.groupBy(check.alias("check"), subject.alias("subject")).agg(
+        F.sum("rows").cast("double").alias("value")
+    )
+    shown = (F.col("value") > 0) | F.col("check").isin("negative", "null_count")
+    issue = F.col("check").isin("empty_brand", "negative") & (F.col("value") > 0)
+    return summed.where(shown).withColumn("is_issue", issue)
+
+
 def _finding(df: DataFrame, check: str, subject: Column, value: Column, issue: Column) -> DataFrame:
     return df.select(
         F.lit(check).alias("check"),
@@ -111,13 +146,11 @@ def _finding(df: DataFrame, check: str, subject: Column, value: Column, issue: C
 def dq_report(summary: DataFrame, master: DataFrame, tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """All checks as (check, subject, value, is_issue).
 
-    ``summary`` and ``master`` should be stored tables: each check is its own small aggregate
-    over a few of their columns.
+    ``summary`` and ``master`` should be stored tables. All checks that count rows share one scan
+    of the summary; the others read the few columns they need.
     """
     always, never = F.lit(True), F.lit(False)
     channel_brand = F.concat_ws("/", S.CHANNEL, S.BRAND, S.PRODUCT)
-    gaps = null_rates(summary).drop("total")
-    gap_rows = gaps.unpivot([S.CHANNEL], [c for c in gaps.columns if c != S.CHANNEL], "metric", "nulls")
     complete = master_completeness(master).drop("total")
     complete_rows = complete.unpivot([S.PLATFORM], ["no_brand", "no_cat3", "no_spec"], "gap", "rows")
     spread = volume_spread(summary)
@@ -129,11 +162,8 @@ def dq_report(summary: DataFrame, master: DataFrame, tables: Mapping[str, DataFr
         _finding(price_anomalies(summary), "price_anomaly", channel_brand, F.col(S.PRICE), always),
         _finding(conversion_anomalies(summary), "conversion_anomaly", channel_brand, F.col(S.CONVERSION), always),
         _finding(spread, "volume_distinct", F.lit("天猫"), F.col("distinct_v"), F.col("distinct_v") == 1),
-        _finding(empty_brands(summary), "empty_brand", F.col(S.CHANNEL), F.col("cnt"), always),
-        _finding(negative_values(summary), "negative", F.col("metric"), F.col("negatives"), F.col("negatives") > 0),
-        _finding(gap_rows, "null_count", F.concat_ws("/", S.CHANNEL, "metric"), F.col("nulls"), never),
+        audit_counts(summary),
         _finding(duplicates(summary), "duplicate", F.concat_ws("/", S.CHANNEL, S.CODE), F.col("cnt"), always),
-        _finding(audit_price_bands(summary), "price_band", F.col("band"), F.col("cnt"), never),
         _finding(complete_rows, "master_gap", F.concat_ws("/", S.PLATFORM, "gap"), F.col("rows"), never),
     ]
     return reduce(DataFrame.unionByName, checks)

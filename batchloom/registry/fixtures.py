@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from batchloom.plans.channels import CHANNELS
 from batchloom.storage import work_path
@@ -164,7 +165,8 @@ TABLES = (
     "conversations"
 ).split()
 
-_stored: dict[tuple, str] = {}
+_stored: dict[tuple, tuple[str, StructType]] = {}
+_schemas: dict[str, StructType] = {}
 
 
 def _named(sql: str, names) -> list[str]:
@@ -173,7 +175,11 @@ def _named(sql: str, names) -> list[str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is inferred once and then given, which saves a job per read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def recipe(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -207,9 +213,11 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         path = work_path(spark, name)
-        build().write.parquet(path)
-        _stored[key] = path
-    return spark.read.parquet(_stored[key])
+        frame = build()
+        frame.write.parquet(path)
+        _stored[key] = path, frame.schema
+    path, schema = _stored[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def sold(spark: SparkSession, sf_dir: str) -> DataFrame:

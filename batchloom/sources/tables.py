@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchloom.functions.text import as_text, has_value, strip
+from batchloom.operators.grouping import take_first
 
 
 def read_source(
@@ -24,7 +25,7 @@ def read_source(
     """
     rows = df.where(F.expr(where)) if where else df
     if limit > 0:
-        rows = rows.orderBy(*keys).limit(limit)
+        rows = take_first(rows, keys, limit)
     return rows.select(*[as_text(F.col(c)).alias(c) for c in (*keys, text_col)])
 
 

@@ -127,3 +127,11 @@ def test_volume_locations():
     assert got == ["/e/v", "/u", "/t/x"]
     with pytest.raises(ValueError):
         files.volume_location("table", "", roots)
+
+
+def test_large_cap_is_exact(spark):
+    rows = spark.range(500).select((F.col("id") * 7 % 50).alias("k"), F.col("id").alias("v"))
+    expected = sorted(r.k for r in rows.collect())[:123]
+    got = grouping.take_first(rows, ["k"], 123, in_one_task=10)
+    assert sorted(r.k for r in got.collect()) == expected and got.columns == ["k", "v"]
+    assert grouping.take_first(rows, ["k", "v"], 9999, in_one_task=10).count() == 500
