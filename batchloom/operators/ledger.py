@@ -28,15 +28,10 @@ def find_job(ledger: DataFrame, batch_id: str, tiebreak: str | None = None) -> D
 
 
 def job_status(ledger: DataFrame, tiebreak: str | None = None) -> DataFrame:
-    """Newest states with progress in percent and whether the batch has ended."""
+    """Newest states with progress in percent, whether the batch has ended, and how long it took."""
     total = F.col("total_requests")
     done = F.col("completed_requests") + F.col("failed_requests")
-    return latest_jobs(ledger, tiebreak).select(
-        "batch_id",
-        "status",
-        "total_requests",
-        "completed_requests",
-        "failed_requests",
-        F.when(total > 0, done / total * 100).alias("progress_pct"),
-        F.col("status").isin(TERMINAL).alias("ended"),
-    )
+    added = {"progress_pct": F.when(total > 0, done / total * 100), "ended": F.col("status").isin(TERMINAL)}
+    if {"submitted_at", "completed_at"} <= set(ledger.columns):
+        added["elapsed_seconds"] = F.unix_timestamp("completed_at") - F.unix_timestamp("submitted_at")
+    return latest_jobs(ledger, tiebreak).withColumns(added)

@@ -81,7 +81,7 @@ def request_line(custom_id: Column, user_message: Column, options: RequestOption
 
 
 def drop_blank_text(df: DataFrame, text_col: str) -> DataFrame:
-    return df.where(~is_blank(F.col(text_col)))
+    return df.where(~is_blank(F.col(text_col).cast("string")))
 
 
 def drop_oversized(df: DataFrame, line_col: str = "request", max_bytes: int = MAX_LINE_BYTES) -> DataFrame:
@@ -147,7 +147,7 @@ def skip_accounting(
 ) -> DataFrame:
     """Rows per outcome of build_requests: null_key, blank_text, duplicate, oversized, ready."""
     complete = ~F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
-    blank = is_blank(F.col(text_col))
+    blank = is_blank(F.col(text_col).cast("string"))
     read = rows.agg(
         F.count_if(~complete).alias("null_key"),
         F.count_if(complete & blank).alias("blank_text"),

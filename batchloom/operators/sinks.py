@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchloom import schemas
-from batchloom.storage import is_path, read_table, table_exists
+from batchloom.storage import is_path, partitioned_by, read_table, table_exists
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -91,20 +91,31 @@ def new_batches(df: DataFrame, existing: DataFrame | None) -> DataFrame:
 def idempotent_append(df: DataFrame, target: str) -> None:
     """Append only batches the target does not hold yet, each batch whole or not at all.
 
-    The target is partitioned by batch: finding known batches reads no data, and a retried write
-    replaces a batch's partition instead of adding to it. The rebalance spreads a very large batch
-    over several files and joins small ones, where a plain repartition would make it one task.
+    A target made here is partitioned by batch: finding known batches reads no data, and a retried
+    write replaces a batch's partition instead of adding to it. The rebalance spreads a very large
+    batch over several files and joins small ones, where a plain repartition would make it one task.
+    A target of another layout gets a plain append of its new batches; rows take its column types.
     """
     spark = df.sparkSession
-    existing = read_table(spark, target) if table_exists(spark, target) else None
-    fresh = new_batches(df, existing).hint("rebalance", "batch_id")
-    if is_path(target) or existing is None:
-        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+    if not table_exists(spark, target):
+        writer = df.hint("rebalance", "batch_id").write.partitionBy("batch_id")
         writer.parquet(target) if is_path(target) else writer.saveAsTable(target)
-    else:
-        fresh.select(*existing.columns).write.option("partitionOverwriteMode", "dynamic").mode(
-            "overwrite"
-        ).insertInto(target)
+        return
+    existing = read_table(spark, target)
+    aligned = add_missing_columns(align_to_schema(df, existing.schema), existing.schema)
+    fresh = new_batches(aligned, existing).select(*existing.columns)
+    if not partitioned_by(spark, target, "batch_id"):
+        _write(fresh, target, "append")
+        return
+    # A catalog table's writer takes the overwrite mode from the session, not from its options.
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        writer = fresh.hint("rebalance", "batch_id").write.mode("overwrite")
+        writer.partitionBy("batch_id").parquet(target) if is_path(target) else writer.insertInto(target)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def existing_counts(target: DataFrame, batches: DataFrame) -> DataFrame:

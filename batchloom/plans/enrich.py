@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from batchloom import schemas
 from batchloom.functions.media import media_type
@@ -17,10 +18,10 @@ from batchloom.operators import incremental, planning, requests, results
 from batchloom.operators.grouping import take_first
 from batchloom.operators.ledger import find_job
 from batchloom.operators.requests import RequestOptions
-from batchloom.operators.sinks import append_results, idempotent_append, new_batches
+from batchloom.operators.sinks import align_to_schema, append_results, evolve_table, idempotent_append, new_batches
 from batchloom.sources.files import attach_urls
 from batchloom.sources.lines import read_error_lines, read_result_lines
-from batchloom.storage import materialise
+from batchloom.storage import is_path, materialise, table_exists
 
 # A scorer maps requests (custom_id, request, ...) to result and error lines (custom_id, line, kind),
 # where kind is 'result' or 'error'.
@@ -63,6 +64,8 @@ class Run:
     quarantine: DataFrame
     rows: DataFrame
     labels: dict[str, str]
+    layout: T.StructType
+    unkeyed: DataFrame | None = None
 
     def stats(self, source: str, elapsed_seconds: float | None = None) -> DataFrame:
         labels = {**self.labels, "elapsed_seconds": elapsed_seconds}
@@ -126,7 +129,9 @@ def enrich(
     )
     rows = results.table_results(audited, keys, result_column)
     selected = sent if limit > 0 else incremental.unprocessed_rows(wanted.select(*keys), target, keys)
-    return Run(selected, sent, flat, errors, quarantine, rows, _labels(options, batch_id))
+    layout = schemas.target_schema(source.schema, list(keys), result_column)
+    _, unkeyed = incremental.split_null_keys(wanted, keys)
+    return Run(selected, sent, flat, errors, quarantine, rows, _labels(options, batch_id), layout, unkeyed)
 
 
 def enrich_files(
@@ -155,21 +160,29 @@ def enrich_files(
     audited = results.stamp_metadata(located, options.provider, batch_id, at, include_raw)
     rows = results.file_results(audited, result_column)
     selected = sent if limit > 0 else fresh
-    return Run(selected, sent, flat, errors, quarantine, rows, _labels(options, batch_id))
+    layout = schemas.file_target_schema(result_column)
+    return Run(selected, sent, flat, errors, quarantine, rows, _labels(options, batch_id), layout)
 
 
 def write_run(run: Run, target: str, mode: str = "append", full_refresh: bool = False) -> None:
     """Write a run's rows. Appends skip batches the target has.
 
-    Overwriting after an incremental selection would lose all earlier rows, so it has to be asked
-    for with ``full_refresh``.
+    A new target gets key types from the source. A catalog table that lacks audit columns gets
+    them; otherwise only columns the target has are written. Overwriting after an incremental
+    selection would lose all earlier rows, so it has to be asked for with ``full_refresh``.
     """
+    spark = run.rows.sparkSession
     if mode == "append":
+        if not table_exists(spark, target):
+            idempotent_append(align_to_schema(run.rows, run.layout), target)
+            return
+        if not is_path(target):
+            evolve_table(spark, target)
         idempotent_append(run.rows, target)
         return
     if not full_refresh:
         raise ValueError("overwrite keeps only this run's rows; pass full_refresh=True if that is meant")
-    append_results(run.rows, target, mode, partition_by=["batch_id"])
+    append_results(align_to_schema(run.rows, run.layout), target, mode, partition_by=["batch_id"])
 
 
 def enrich_all(runs: dict[str, Callable[[], Run]], write: Callable[[str, Run], None] | None = None) -> DataFrame:
@@ -205,17 +218,24 @@ def resume(
     provider: str,
     at: str | None = None,
     tiebreak: str | None = None,
+    volume: str | None = None,
+    prompt: str = "",
 ) -> DataFrame:
     """Harvest a finished batch again from its result lines, with nothing lost.
 
     The ledger must hold the batch as completed, otherwise there is nothing to harvest. Source
-    text comes from the request table. Rows of a batch the target already has are not returned.
+    text, or file sizes where a ``volume`` is named, come from the request table. Rows of a batch
+    the target already has are not returned.
     """
     job = find_job(ledger, batch_id, tiebreak).where(F.col("status") == "completed").select("batch_id")
     good, _ = read_result_lines(lines)
-    flat = results.attach_request_context(results.flatten_results(good), sent)
-    audited = results.stamp_metadata(flat, provider, batch_id, at)
-    rows = results.table_results(audited, keys)
+    flat = results.flatten_results(good)
+    if volume is None:
+        context = results.attach_request_context(flat, sent)
+        rows = results.table_results(results.stamp_metadata(context, provider, batch_id, at), keys)
+    else:
+        context = results.attach_file_metadata(flat, sent, volume, prompt)
+        rows = results.file_results(results.stamp_metadata(context, provider, batch_id, at))
     return new_batches(rows.join(job, "batch_id", "left_semi").select(*rows.columns), target)
 
 

@@ -542,7 +542,7 @@ ORACLE = {
         "status IN ('completed', 'failed', 'expired', 'cancelled') AS ended FROM latest"
     ),
     "enrich_text": (
-        f"WITH {_ANSWERED} SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, CAST(size AS VARCHAR) AS ai_result, 'm1' AS model, "
+        f"WITH {_ANSWERED} SELECT doc_id, source, CAST(size AS VARCHAR) AS ai_result, 'm1' AS model, "
         "'dashscope' AS provider, CAST(1 AS INT) AS prompt_tokens, CAST(1 AS INT) AS completion_tokens, CAST(2 AS INT) AS total_tokens, "
         "'batch-9' AS batch_id, '2024-03-02T04:30:00+08:00' AS processed_at, CAST(200 AS INT) AS status_code, 'stop' AS finish_reason, "
         f"'q' AS response_id, source_text, {_answer_body('size')} AS raw_response FROM req WHERE size <= 6000"

@@ -404,7 +404,7 @@ def job_ledger_latest(spark, sf):
 
 @query
 def job_status(spark, sf):
-    return ledger.job_status(recipe(spark, sf, "f_jobs"), "event_id")
+    return ledger.job_status(recipe(spark, sf, "f_jobs"), "event_id").drop("updated_at", "event_id")
 
 
 # --- runs ---

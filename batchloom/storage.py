@@ -64,7 +64,22 @@ def table_exists(spark: SparkSession, target: str) -> bool:
 
 
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """A target as a DataFrame. Batch ids are text, also where partition names look like dates."""
     if not is_path(target):
         return spark.table(target)
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(target)
+    if schema is None:
+        found = spark.read.parquet(target)
+        typed = [T.StructField(f.name, T.StringType()) if f.name == "batch_id" else f for f in found.schema.fields]
+        if T.StructType(typed) == found.schema:
+            return found
+        schema = T.StructType(typed)
+    return spark.read.schema(schema).parquet(target)
+
+
+def partitioned_by(spark: SparkSession, target: str, column: str) -> bool:
+    """Whether an existing target is laid out in partitions of ``column``."""
+    if not is_path(target):
+        return any(c.name == column and c.isPartition for c in spark.catalog.listColumns(target))
+    context = spark.sparkContext
+    parts = context._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{column}=*")
+    return len(parts.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(parts)) > 0

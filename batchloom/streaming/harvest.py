@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from batchloom.operators import incremental, results
 from batchloom.operators.grouping import keep_first
+from batchloom.operators.sinks import align_to_schema
 from batchloom.sources.lines import RESULT_LINE, parse_lines, quarantined, usable
 from batchloom.storage import read_table, table_exists
 
@@ -38,12 +39,14 @@ def stream_harvest(
     requests: DataFrame | None = None,
     quarantine: str | None = None,
     at: str | None = None,
+    layout: T.StructType | None = None,
     trigger: dict[str, Any] = ONCE,
 ) -> list[StreamingQuery]:
     """Parse new result files as they arrive and append their rows exactly once.
 
     Parsing keeps no state, and Spark's file sink commits each micro-batch once, so a failed write
-    is simply repeated. Unusable lines go to ``quarantine`` if a path is given.
+    is simply repeated. Unusable lines go to ``quarantine`` if a path is given. Rows take the types
+    of ``layout`` if there is one; keys are text otherwise.
     """
     lines = spark.readStream.text(folder).select(
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file")
@@ -54,6 +57,8 @@ def stream_harvest(
         flat = results.attach_request_context(flat, requests)
     audited = results.stamp_metadata(flat, provider, batch_from_file(F.col("source_file")), at)
     rows = results.table_results(audited, keys)
+    if layout:
+        rows = align_to_schema(rows, layout)
     started = [_to_parquet(rows, target, f"{checkpoint}/rows", trigger)]
     if quarantine:
         started.append(_to_parquet(quarantined(parsed), quarantine, f"{checkpoint}/quarantine", trigger))

@@ -53,7 +53,8 @@ def test_rerun_retries_failures_only(spark):
     enrich.write_run(run, target)
     rows = read_table(spark, target)
     assert rows.count() == 15 and run.errors.count() == 5
-    first = rows.where("id = '1'").first()
+    assert rows.schema["id"].dataType.simpleString() == "int"
+    first = rows.where("id = 1").first()
     assert (first.ai_result, first.source_text, first.provider) == ("TEXT 1!", "text 1", "dashscope")
     again = _run(spark, target, known=True, batch="b2")
     assert sorted(r.id for r in again.requests.collect()) == [4, 8, 12, 16, 20]
@@ -153,3 +154,23 @@ def test_streamed_keys_are_selected_once(spark):
         rows.write.mode("append").parquet(folder)
         harvest.stream_incremental(spark, folder, rows.schema, ["k"], target, selected, state, ["ts"], event_time="ts").awaitTermination()
     assert sorted(r.k for r in spark.read.parquet(selected).collect()) == [1, 2, 3, 4]
+
+
+def test_run_into_a_catalog_table_without_audit_columns(spark):
+    spark.createDataFrame([(1, "old")], "id int, ai_result string").write.saveAsTable("plain_target")
+    run = _run(spark, "plain_target", known=True)
+    for _ in range(2):
+        enrich.write_run(run, "plain_target")
+    rows = spark.table("plain_target")
+    assert rows.count() == 15 and rows.where("id = 1 AND batch_id IS NULL").count() == 1
+    assert rows.where("batch_id = 'b1' AND source_text = 'text 2'").count() == 1
+    spark.sql("DROP TABLE plain_target")
+
+
+def test_resume_of_files(spark):
+    ledger = spark.createDataFrame([("b1", "completed", 1), ("b2", "failed", 1)], "batch_id string, status string, updated_at int")
+    lines = spark.createDataFrame([('{"custom_id":"req-a%2Fb.png","response":{"status_code":200,"body":{}}}',)], "line string")
+    sent = spark.createDataFrame([("a/b.png", 9)], "relative_path string, size bigint")
+    row = enrich.resume(ledger, "b1", lines, sent, None, [], "p", volume="vol", prompt="P").first()
+    assert (row.file_path, row.file_size, row.volume_name, row.source_text) == ("a/b.png", 9, "vol", "P")
+    assert enrich.resume(ledger, "b2", lines, sent, None, [], "p", volume="vol").count() == 0

@@ -135,3 +135,28 @@ def test_large_cap_is_exact(spark):
     got = grouping.take_first(rows, ["k"], 123, in_one_task=10)
     assert sorted(r.k for r in got.collect()) == expected and got.columns == ["k", "v"]
     assert grouping.take_first(rows, ["k", "v"], 9999, in_one_task=10).count() == 500
+
+
+def test_batch_ids_that_look_like_dates(spark):
+    path = work_path(spark, "dated")
+    rows = spark.range(5).select("id", F.lit("2024-05-01").alias("batch_id"))
+    sinks.idempotent_append(rows, path)
+    sinks.idempotent_append(rows, path)
+    sinks.idempotent_append(rows.withColumn("batch_id", F.lit("007")), path)
+    counts = read_table(spark, path).groupBy("batch_id").count().collect()
+    assert {r.batch_id: r["count"] for r in counts} == {"2024-05-01": 5, "007": 5}
+
+
+@pytest.mark.parametrize("target", ["flat_target", None])
+def test_target_of_another_layout_keeps_its_rows(spark, target):
+    target = target or work_path(spark, "flat")
+    held = spark.range(4).select(F.col("id").cast("int"), F.lit("old").alias("batch_id"), F.lit(1.5).alias("own"))
+    sinks.append_results(held, target)
+    rows = spark.range(3).select(F.col("id").cast("string"), F.lit("new").alias("batch_id"), F.lit(1).alias("extra"))
+    sinks.idempotent_append(rows, target)
+    sinks.idempotent_append(rows, target)
+    after = read_table(spark, target)
+    assert after.columns == ["id", "batch_id", "own"] and after.schema["id"].dataType == T.IntegerType()
+    assert after.count() == 7 and after.where("own IS NULL").count() == 3
+    if "/" not in target:
+        spark.sql(f"DROP TABLE {target}")
