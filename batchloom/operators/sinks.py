@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchloom import schemas
-from batchloom.storage import is_path, partitioned_by, read_table, table_exists
+from batchloom.storage import is_path, materialise, partitioned_by, read_table, table_exists
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -82,10 +82,15 @@ def _write(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] =
 
 
 def new_batches(df: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Rows of batches the target does not hold; a target without batch ids holds none."""
+    """Rows of batches the target does not hold; a target without batch ids holds none.
+
+    The target's batch ids are written as a small table first. Spark then plans the join by their
+    real size rather than the target's, and as a rule need not shuffle ``df`` for it.
+    """
     if existing is None or "batch_id" not in [c.lower() for c in existing.columns]:
         return df
-    return df.join(existing.select("batch_id").distinct(), "batch_id", "left_anti").select(*df.columns)
+    known = materialise(existing.select("batch_id").distinct(), "known-batches")
+    return df.join(known, "batch_id", "left_anti").select(*df.columns)
 
 
 def idempotent_append(df: DataFrame, target: str) -> None:
@@ -135,16 +140,30 @@ def archive_raw(lines: DataFrame, path: str) -> None:
     writer.partitionBy("batch_id", "kind").text(path)
 
 
-def rebuild_table(df: DataFrame, target: str, schema: T.StructType, comment: str = "") -> None:
+def rebuild_table(
+    df: DataFrame,
+    target: str,
+    schema: T.StructType,
+    comment: str = "",
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
+) -> None:
     """Replace a table by ``df`` under an explicit schema with column comments.
 
-    The schema's types apply, so an all-NULL column is written in its type and not as void.
+    The schema's types apply, so an all-NULL column is written in its type and not as void. A
+    catalog table may be bucketed: joins on those columns then read it without a shuffle, which pays
+    for a product master that many channel tables are joined to.
     """
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema.fields])
     if is_path(target):
         typed.write.mode("overwrite").parquet(target)
         return
-    typed.write.mode("overwrite").saveAsTable(target)
+    writer = typed.write.mode("overwrite")
+    if buckets:
+        # One task per bucket, so that each bucket is one file.
+        writer = typed.repartition(buckets, *bucket_by).write.mode("overwrite")
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(target)
     if comment:
         quoted = comment.replace("'", "''")
         df.sparkSession.sql(f"COMMENT ON TABLE {target} IS '{quoted}'")

@@ -17,10 +17,10 @@ def work_folder(spark: SparkSession) -> str:
     Only a local-mode session that names none gets a folder of its own; a cluster without the
     setting is refused, since executors could not read each other's machine-local files.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:

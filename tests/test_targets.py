@@ -160,3 +160,24 @@ def test_target_of_another_layout_keeps_its_rows(spark, target):
     assert after.count() == 7 and after.where("own IS NULL").count() == 3
     if "/" not in target:
         spark.sql(f"DROP TABLE {target}")
+
+
+def test_bucketed_master_is_not_shuffled(spark):
+    """A channel summary over a bucketed master shuffles the sales rows only."""
+    layout = T.StructType.fromDDL("platform string, source_key string, v bigint")
+    rows = spark.range(50).select(F.lit("p").alias("platform"), F.col("id").cast("string").alias("source_key"), F.col("id").alias("v"))
+    sinks.rebuild_table(rows, "bucketed", layout, bucket_by=["platform", "source_key"], buckets=4)
+    path = work_path(spark, "sales")
+    rows.drop("v").write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.read.parquet(path).join(spark.table("bucketed"), ["platform", "source_key"])
+        assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert joined.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.sql("DROP TABLE bucketed")
+
+
+def test_work_folder_is_the_sessions(spark):
+    assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
