@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchloom.storage import inline_rows
+
 # The estimate's constants.
 TOKENS_PER_ROW = 200
 TOKENS_PER_FILE = 300
@@ -47,7 +49,8 @@ def plan_profile(df: DataFrame) -> DataFrame:
         (f.name, f.dataType.simpleString(), rows, chars.get(f.name), exact.get(f.name, False), f.name == longest)
         for f in df.schema.fields
     ]
-    return spark.createDataFrame(
+    return inline_rows(
+        spark,
         described,
         "column_name string, data_type string, row_count bigint, mean_chars double, "
         "key_candidate boolean, text_candidate boolean",

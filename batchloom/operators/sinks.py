@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchloom import schemas
-from batchloom.storage import is_path, materialise, partitioned_by, read_table, table_exists
+from batchloom.storage import inline_rows, is_path, materialise, partitioned_by, read_table, table_exists
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -18,7 +18,7 @@ _REAL = (T.FloatType, T.DoubleType, T.DecimalType)
 def ensure_table(spark: SparkSession, target: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
     """Create an empty target with this layout unless it exists."""
     if not table_exists(spark, target):
-        _write(spark.createDataFrame([], schema), target, "ignore", partition_by)
+        _write(inline_rows(spark, [], schema), target, "ignore", partition_by)
 
 
 def missing_columns(existing: T.StructType, wanted: T.StructType = schemas.METADATA) -> list[T.StructField]:
@@ -172,7 +172,7 @@ def rebuild_table(
 def table_counts(tables: dict[str, DataFrame | None], spark: SparkSession) -> DataFrame:
     """Row count per named table; a table given as None is missing and has no count."""
     schema = "table_name string, rows bigint, missing boolean"
-    result = spark.createDataFrame([(n, None, True) for n, df in tables.items() if df is None], schema)
+    result = inline_rows(spark, [(n, None, True) for n, df in tables.items() if df is None], schema)
     for name, df in tables.items():
         if df is not None:
             counted = df.agg(F.count("*").alias("rows"))
@@ -193,7 +193,7 @@ def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
     def columns(df: DataFrame, name: str) -> DataFrame:
         fields = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-        return spark.createDataFrame(fields, f"column_name string, {name} string")
+        return inline_rows(spark, fields, f"column_name string, {name} string")
 
     both = columns(left, "left_type").join(columns(right, "right_type"), "column_name", "full_outer")
     status = (

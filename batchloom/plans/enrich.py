@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +19,9 @@ from batchloom.operators.grouping import take_first
 from batchloom.operators.ledger import find_job
 from batchloom.operators.requests import RequestOptions
 from batchloom.operators.sinks import align_to_schema, append_results, evolve_table, idempotent_append, new_batches
-from batchloom.sources.files import attach_urls
+from batchloom.sources.files import attach_urls, extension_glob, list_files
 from batchloom.sources.lines import read_error_lines, read_result_lines
-from batchloom.storage import is_path, materialise, table_exists
+from batchloom.storage import inline_rows, is_path, materialise, path_exists, table_exists
 
 # A scorer maps requests (custom_id, request, ...) to result and error lines (custom_id, line, kind),
 # where kind is 'result' or 'error'.
@@ -134,6 +134,22 @@ def enrich(
     return Run(selected, sent, flat, errors, quarantine, rows, _labels(options, batch_id), layout, unkeyed)
 
 
+def discover_files(
+    spark: SparkSession,
+    root: str,
+    target: DataFrame | None = None,
+    extensions: Sequence[str] = (),
+    prefix: str = "",
+    limit: int = 0,
+) -> DataFrame:
+    """List new files of a folder. Extensions, and a prefix that names a folder, prune the listing."""
+    folders = [prefix] if prefix.endswith("/") else []
+    if folders and not path_exists(spark, f"{root.rstrip('/')}/{prefix}"):
+        return inline_rows(spark, [], "relative_path string, size bigint")
+    listed = list_files(spark, root, folders, extension_glob(extensions))
+    return incremental.unprocessed_files(listed, target, extensions, prefix, limit)
+
+
 def enrich_files(
     files: DataFrame,
     urls: DataFrame,
@@ -225,7 +241,7 @@ def resume(
 
     The ledger must hold the batch as completed, otherwise there is nothing to harvest. Source
     text, or file sizes where a ``volume`` is named, come from the request table. Rows of a batch
-    the target already has are not returned.
+    the target already has are not returned; its batch ids are read when this is called.
     """
     job = find_job(ledger, batch_id, tiebreak).where(F.col("status") == "completed").select("batch_id")
     good, _ = read_result_lines(lines)

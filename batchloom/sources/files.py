@@ -38,6 +38,14 @@ def list_files(
     return from_inventory(reader.load(paths).select(relative.alias("relative_path"), F.col("length").alias("size")))
 
 
+def extension_glob(extensions: Sequence[str]) -> str | None:
+    """A file-name pattern for extensions in any case; no list, no pattern."""
+    if not extensions:
+        return None
+    spelled = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e.lstrip(".")) for e in extensions]
+    return "*.{" + ",".join(spelled) + "}"
+
+
 def from_inventory(listing: DataFrame) -> DataFrame:
     """A listing table as (relative_path, size): empty paths go, an unknown size is 0."""
     return listing.where(F.col("relative_path") != "").select(

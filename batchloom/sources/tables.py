@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from batchloom.functions.text import as_text, has_value, strip
 from batchloom.operators.grouping import take_first
+from batchloom.storage import inline_rows
 
 
 def read_source(
@@ -61,7 +62,7 @@ def import_sheets(sheets: dict[str, DataFrame], tables: dict[str, str]) -> dict[
 
 def inline_values(spark, column: str, values: Sequence[str]) -> DataFrame:
     """A caller's own short list of strings as a one-column relation."""
-    return spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(column, T.StringType())]))
+    return inline_rows(spark, [(v,) for v in values], T.StructType([T.StructField(column, T.StringType())]))
 
 
 def table_profile(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
@@ -70,7 +71,8 @@ def table_profile(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFra
     Sample rows are JSON objects of strings in which NULL reads "NULL".
     """
     spark = df.sparkSession
-    columns = spark.createDataFrame(
+    columns = inline_rows(
+        spark,
         [("column", i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
         "section string, position int, name string, value string",
     )
@@ -80,6 +82,7 @@ def table_profile(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFra
     shown = F.to_json(
         F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("NULL")).alias(c) for c in df.columns])
     )
+    # The window below has no partitions, but numbers these n rows only.
     top = df.orderBy(*order_by).limit(n)
     sample = top.select(
         F.lit("sample").alias("section"),

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _local_folders: dict[str, str] = {}
 
@@ -44,6 +47,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """A caller's few rows as a local relation, whose size Spark knows when it plans joins."""
+    layout = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(layout)
+    columns = [pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.table(columns, schema=arrow), schema=layout)
+
+
 def qualify(table: str, schema: str | None) -> str:
     """Prefix an unqualified table name with the default schema; paths stay as they are."""
     if not table or not schema or "." in table or is_path(table):
@@ -56,10 +67,12 @@ def is_path(target: str) -> bool:
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:
-    if not is_path(target):
-        return spark.catalog.tableExists(target)
+    return path_exists(spark, target) if is_path(target) else spark.catalog.tableExists(target)
+
+
+def path_exists(spark: SparkSession, location: str) -> bool:
     context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(target)
+    path = context._jvm.org.apache.hadoop.fs.Path(location)
     return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
 
 

@@ -127,6 +127,21 @@ def test_file_preview(spark):
     assert [(r.input, r.output) for r in shown] == [("[image] a.png", "ok")]
 
 
+def test_discovery(spark, tmp_path):
+    for name in ("in/a.JPG", "in/b.png", "in/deep/c.jpg", "in.jpg", "out/d.jpg", "in/e.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"1")
+    done = spark.createDataFrame([("in/b.png",)], "file_path string")
+
+    def found(**more):
+        return sorted(r.relative_path for r in enrich.discover_files(spark, str(tmp_path), **more).collect())
+
+    assert found(target=done, extensions=["jpg", ".PNG"], prefix="in/") == ["in/a.JPG", "in/deep/c.jpg"]
+    assert found(extensions=["jpg"], prefix="in") == ["in.jpg", "in/a.JPG", "in/deep/c.jpg"]
+    assert found(prefix="none/") == []
+    assert found(limit=2) == ["in.jpg", "in/a.JPG"]
+
+
 def test_harvest_takes_each_file_once(spark):
     folder, target, state, bad = (work_path(spark, n) for n in ("in", "out", "state", "bad"))
     sent = spark.createDataFrame([("req-1", "hello")], "custom_id string, source_text string")
