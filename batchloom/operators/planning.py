@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchloom.sources.files import type_histogram
 from batchloom.storage import inline_rows
 
 # The estimate's constants.
@@ -24,6 +25,32 @@ def cost_estimate(df: DataFrame, tokens_each: int = TOKENS_PER_ROW) -> DataFrame
     return df.agg(rows.alias("items"), tokens.alias("estimated_tokens"), price.alias("estimated_cost"))
 
 
+def plan_files(files: DataFrame, sample: int = 10, path_col: str = "relative_path") -> DataFrame:
+    """What a file run would process, as (section, name, value).
+
+    Files per extension, their number, estimated tokens and batch price, and the first paths with
+    their sizes. The listing is aggregated once per extension; totals come from those few rows.
+    """
+    per_type = type_histogram(files, path_col)
+    every = F.sum("files")
+    tokens = every * TOKENS_PER_FILE
+    price = tokens / F.lit(1_000_000) * F.lit(PRICE_PER_MILLION) * F.lit(BATCH_DISCOUNT)
+    totals = per_type.agg(
+        every.cast("double").alias("file_count"),
+        tokens.cast("double").alias("estimated_tokens"),
+        price.alias("estimated_cost"),
+    )
+    total_rows = totals.unpivot([], totals.columns, "name", "value").select(F.lit("total").alias("section"), "name", "value")
+    type_rows = per_type.select(
+        F.lit("extension").alias("section"), F.col("extension").alias("name"), F.col("files").cast("double").alias("value")
+    )
+    first = files.orderBy(path_col).limit(sample)
+    sample_rows = first.select(
+        F.lit("sample").alias("section"), F.col(path_col).alias("name"), F.col("size").cast("double").alias("value")
+    )
+    return total_rows.unionByName(type_rows).unionByName(sample_rows)
+
+
 def plan_profile(df: DataFrame) -> DataFrame:
     """Per column: type, rows, mean text length, and whether it could be the key or the text.
 

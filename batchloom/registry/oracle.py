@@ -462,6 +462,15 @@ ORACLE = {
     "cost_estimate": (
         "SELECT COUNT(*) AS items, COUNT(*) * 200 AS estimated_tokens, COUNT(*) * 200 / 1000000.0 * 2.0 * 0.5 AS estimated_cost FROM documents"
     ),
+    "plan_files": (
+        f"WITH {ctes('f_files')}, t AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM f_files) "
+        "SELECT 'total' AS section, 'file_count' AS name, n AS value FROM t UNION ALL "
+        "SELECT 'total', 'estimated_tokens', n * 300 FROM t UNION ALL "
+        "SELECT 'total', 'estimated_cost', n * 300 / 1000000 * 2.0 * 0.5 FROM t UNION ALL "
+        f"SELECT 'extension', CASE WHEN contains(relative_path, '.') THEN '.' || {_PATH_EXT} ELSE '(no ext)' END, CAST(COUNT(*) AS DOUBLE) "
+        "FROM f_files GROUP BY 2 UNION ALL "
+        "SELECT 'sample', relative_path, CAST(size AS DOUBLE) FROM (SELECT * FROM f_files ORDER BY relative_path LIMIT 10) s"
+    ),
     "plan_profile": (
         "WITH p AS (SELECT COUNT(*) AS n, " + ", ".join(
             f"COUNT(DISTINCT {c}) AS d_{c}" for c in ("doc_id", "text", "lang", "source", "n_chars")

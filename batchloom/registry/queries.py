@@ -240,6 +240,11 @@ def cost_estimate(spark, sf):
     return planning.cost_estimate(table(spark, sf, "documents"))
 
 
+@query
+def plan_files(spark, sf):
+    return planning.plan_files(recipe(spark, sf, "f_files"))
+
+
 @query
 def plan_profile(spark, sf):
     return planning.plan_profile(table(spark, sf, "documents"))

@@ -40,12 +40,15 @@ def stream_harvest(
     quarantine: str | None = None,
     at: str | None = None,
     layout: T.StructType | None = None,
+    volume: str | None = None,
+    prompt: str = "",
     trigger: dict[str, Any] = ONCE,
 ) -> list[StreamingQuery]:
     """Parse new result files as they arrive and append their rows exactly once.
 
     Parsing keeps no state, and Spark's file sink commits each micro-batch once, so a failed write
-    is simply repeated. Unusable lines go to ``quarantine`` if a path is given. Rows take the types
+    is simply repeated. ``requests`` gives source texts, or file sizes in file mode, which a
+    ``volume`` asks for. Unusable lines go to ``quarantine`` if a path is given. Rows take the types
     of ``layout`` if there is one; keys are text otherwise.
     """
     lines = spark.readStream.text(folder).select(
@@ -53,10 +56,12 @@ def stream_harvest(
     )
     parsed = parse_lines(lines, RESULT_LINE)
     flat = results.flatten_results(usable(parsed))
-    if requests is not None:
+    if volume is not None:
+        flat = results.attach_file_metadata(flat, requests, volume, prompt)
+    elif requests is not None:
         flat = results.attach_request_context(flat, requests)
     audited = results.stamp_metadata(flat, provider, batch_from_file(F.col("source_file")), at)
-    rows = results.table_results(audited, keys)
+    rows = results.file_results(audited) if volume is not None else results.table_results(audited, keys)
     if layout:
         rows = align_to_schema(rows, layout)
     started = [_to_parquet(rows, target, f"{checkpoint}/rows", trigger)]

@@ -160,6 +160,17 @@ def test_harvest_takes_each_file_once(spark):
     assert [r.line for r in spark.read.parquet(bad).collect()] == ["junk"]
 
 
+def test_harvest_of_file_results(spark):
+    folder, target, state = (work_path(spark, n) for n in ("in", "out", "state"))
+    sent = spark.createDataFrame([("a/b.png", 9)], "relative_path string, size bigint")
+    line = '{"custom_id":"req-a%2Fb.png","response":{"status_code":200,"body":{}}}'
+    spark.createDataFrame([(line,)], "v string").write.text(folder)
+    for query in harvest.stream_harvest(spark, folder, target, state, [], "p", sent, volume="vol", prompt="P"):
+        query.awaitTermination()
+    row = spark.read.parquet(target).first()
+    assert (row.file_path, row.file_size, row.volume_name, row.source_text) == ("a/b.png", 9, "vol", "P")
+
+
 def test_streamed_keys_are_selected_once(spark):
     folder, target, selected, state = (work_path(spark, n) for n in ("in", "tgt", "sel", "state"))
     rows = spark.createDataFrame([(i % 5, f"2024-01-01 00:0{i % 6}:00") for i in range(30)], "k int, ts string")
