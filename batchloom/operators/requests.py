@@ -113,12 +113,15 @@ def render_requests(
     max_bytes: int = MAX_LINE_BYTES,
 ) -> DataFrame:
     """Rows with unique keys as (keys, source_text, custom_id, request), oversized ones dropped."""
-    text = as_text(F.col(text_col))
-    message = F.struct(F.lit("user").alias("role"), render_prompt(text, options.user_prompt).alias("content"))
-    stamped = rows.select(*keys, text.alias("source_text"), request_id(keys).alias("custom_id"), text_col)
-    line = request_line(F.col("custom_id"), message, options, system=True)
-    built = stamped.withColumn("request", line).select(*keys, "source_text", "custom_id", "request")
-    return drop_oversized(built, max_bytes=max_bytes)
+    stamped = rows.select(*keys, as_text(F.col(text_col)).alias("source_text"), request_id(keys).alias("custom_id"))
+    return drop_oversized(with_request(stamped, options), max_bytes=max_bytes)
+
+
+def with_request(stamped: DataFrame, options: RequestOptions) -> DataFrame:
+    """Add the request to rows of (custom_id, source_text); it follows from those two alone."""
+    content = render_prompt(F.col("source_text"), options.user_prompt)
+    message = F.struct(F.lit("user").alias("role"), content.alias("content"))
+    return stamped.withColumn("request", request_line(F.col("custom_id"), message, options, system=True))
 
 
 def build_requests(

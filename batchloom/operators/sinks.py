@@ -93,17 +93,17 @@ def new_batches(df: DataFrame, existing: DataFrame | None) -> DataFrame:
     return df.join(known, "batch_id", "left_anti").select(*df.columns)
 
 
-def idempotent_append(df: DataFrame, target: str) -> None:
+def idempotent_append(df: DataFrame, target: str, rebalance: bool = True) -> None:
     """Append only batches the target does not hold yet, each batch whole or not at all.
 
     A target made here is partitioned by batch: finding known batches reads no data, and a retried
     write replaces a batch's partition instead of adding to it. The rebalance spreads a very large
-    batch over several files and joins small ones, where a plain repartition would make it one task.
-    A target of another layout gets a plain append of its new batches; rows take its column types.
+    batch over several files and joins small ones, where a plain repartition would make it one task;
+    rows of a single batch do without. A target of another layout gets a plain append of its new batches; rows take its column types.
     """
     spark = df.sparkSession
     if not table_exists(spark, target):
-        writer = df.hint("rebalance", "batch_id").write.partitionBy("batch_id")
+        writer = _spread(df, rebalance).write.partitionBy("batch_id")
         writer.parquet(target) if is_path(target) else writer.saveAsTable(target)
         return
     existing = read_table(spark, target)
@@ -117,12 +117,16 @@ def idempotent_append(df: DataFrame, target: str) -> None:
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
     try:
-        writer = fresh.hint("rebalance", "batch_id").write.mode("overwrite")
+        writer = _spread(fresh, rebalance).write.mode("overwrite")
         writer.partitionBy("batch_id").parquet(target) if is_path(target) else writer.insertInto(target)
     finally:
         spark.conf.set(setting, before)
 
 
+def _spread(df: DataFrame, rebalance: bool) -> DataFrame:
+    return df.hint("rebalance", "batch_id") if rebalance else df
+
+
 def existing_counts(target: DataFrame, batches: DataFrame) -> DataFrame:
     """Rows the target already holds per asked batch id, 0 where it holds none."""
     held = target.groupBy("batch_id").agg(F.count("*").alias("existing_rows"))

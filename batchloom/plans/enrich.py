@@ -76,20 +76,19 @@ def _labels(options: RequestOptions, batch_id: str) -> dict[str, str]:
     return {"provider": options.provider, "model": options.model, "batch_id": batch_id}
 
 
-def _score(built: DataFrame, scorer: Scorer, keep: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Requests, parsed results, errors and quarantine.
+def _score(sent: DataFrame, scorer: Scorer, keep: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Parsed results, errors and quarantine.
 
-    With ``keep``, requests and responses are written first: the scorer may be slow, costly and
-    not repeatable, and must not be called again by a later stage or a retried task of one.
+    With ``keep``, responses are written first: the scorer may be slow, costly and not repeatable,
+    and must not be called again by a later stage or a retried task of one.
     """
-    sent = materialise(built, "requests") if keep else built
     scored = scorer(sent)
     if keep:
         scored = materialise(scored, "responses")
     lines = scored.select("line", "kind")
     good, bad = read_result_lines(lines.where(F.col("kind") == "result").drop("kind"))
     errors, bad_errors = read_error_lines(lines.where(F.col("kind") == "error").drop("kind"))
-    return sent, results.flatten_results(good), errors, bad.unionByName(bad_errors)
+    return results.flatten_results(good), errors, bad.unionByName(bad_errors)
 
 
 def enrich(
@@ -116,13 +115,15 @@ def enrich(
 
     First copies are taken before processed keys are removed. Both go by key, so the result is the
     same, and source rows are shuffled once, after the copies of each key were cut down to one.
+    With ``keep``, requests are stored without the rendered line, which would hold the text twice.
     """
     wanted = source.where(F.expr(where)) if where else source
     fresh = incremental.unprocessed_rows(requests.first_copies(wanted, keys, text_col, order), target, keys)
     built = requests.render_requests(fresh, keys, text_col, options)
     if limit > 0:
         built = take_first(built, keys, limit)
-    sent, flat, errors, quarantine = _score(built, scorer, keep)
+    sent = requests.with_request(materialise(built.drop("request"), "requests"), options) if keep else built
+    flat, errors, quarantine = _score(sent, scorer, keep)
     flat = results.only_status(flat, status)
     audited = results.stamp_metadata(
         results.attach_request_context(flat, sent), options.provider, batch_id, at, include_raw
@@ -171,7 +172,8 @@ def enrich_files(
     built = requests.build_media_requests(attach_urls(fresh, urls), options)
     if limit > 0:
         built = take_first(built, ["relative_path"], limit)
-    sent, flat, errors, quarantine = _score(built, scorer, keep)
+    sent = materialise(built, "requests") if keep else built
+    flat, errors, quarantine = _score(sent, scorer, keep)
     located = results.attach_file_metadata(flat, sent, volume, options.user_prompt)
     audited = results.stamp_metadata(located, options.provider, batch_id, at, include_raw)
     rows = results.file_results(audited, result_column)
@@ -190,11 +192,11 @@ def write_run(run: Run, target: str, mode: str = "append", full_refresh: bool =
     spark = run.rows.sparkSession
     if mode == "append":
         if not table_exists(spark, target):
-            idempotent_append(align_to_schema(run.rows, run.layout), target)
+            idempotent_append(align_to_schema(run.rows, run.layout), target, rebalance=False)
             return
         if not is_path(target):
             evolve_table(spark, target)
-        idempotent_append(run.rows, target)
+        idempotent_append(run.rows, target, rebalance=False)
         return
     if not full_refresh:
         raise ValueError("overwrite keeps only this run's rows; pass full_refresh=True if that is meant")
