@@ -96,7 +96,7 @@ def run_stats(
     results: DataFrame,
     errors: DataFrame,
     written: DataFrame,
-    labels: Mapping[str, str | float | None],
+    labels: Mapping[str, str],
 ) -> DataFrame:
     """Counts of one source's run as one row; ``labels`` are provider, model and the like.
 

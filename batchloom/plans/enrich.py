@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -67,9 +66,10 @@ class Run:
     layout: T.StructType
     unkeyed: DataFrame | None = None
 
-    def stats(self, source: str, elapsed_seconds: float | None = None) -> DataFrame:
-        labels = {**self.labels, "elapsed_seconds": elapsed_seconds}
-        return planning.run_stats(source, self.selected, self.results, self.errors, self.rows, labels)
+    def stats(self, source: str) -> DataFrame:
+        """Counts of the run. Evaluate them before ``write_run``: a catalog target that has been
+        written to holds the selected keys, and nothing would count as selected any more."""
+        return planning.run_stats(source, self.selected, self.results, self.errors, self.rows, self.labels)
 
 
 def _labels(options: RequestOptions, batch_id: str) -> dict[str, str]:
@@ -216,9 +216,10 @@ def enrich_all(runs: dict[str, Callable[[], Run]], write: Callable[[str, Run], N
         try:
             began = time.monotonic()
             run = start()
+            counted = materialise(run.stats(name), "stats")
             if write:
                 write(name, run)
-            stats.append(run.stats(name, time.monotonic() - began))
+            stats.append(counted.withColumn("elapsed_seconds", F.lit(time.monotonic() - began)))
         except Exception as error:  # noqa: BLE001 - sources are isolated from each other
             failures[name] = error
     if failures:
@@ -303,8 +304,3 @@ def enriched_view(base: DataFrame, enriched: DataFrame, keys: Sequence[str], col
     typed = {f.name: f.dataType for f in base.select(*keys).schema.fields}
     found = enriched.select(*[F.col(k).try_cast(typed[k]).alias(k) for k in keys], *columns)
     return base.join(found, list(keys))
-
-
-def request_partitions(total_bytes: int, bytes_each: int = 128 * 1024 * 1024) -> int:
-    """Partitions that keep one scoring task near a fixed size."""
-    return max(1, math.ceil(total_bytes / bytes_each))

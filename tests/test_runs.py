@@ -193,6 +193,15 @@ def test_run_into_a_catalog_table_without_audit_columns(spark):
     spark.sql("DROP TABLE plain_target")
 
 
+def test_stats_of_a_written_catalog_target(spark):
+    spark.createDataFrame([(1, "old")], "id int, ai_result string").write.saveAsTable("counted_target")
+    runs = {"t": lambda: _run(spark, "counted_target", known=True)}
+    stats = {r.source: r for r in enrich.enrich_all(runs, lambda n, r: enrich.write_run(r, "counted_target")).collect()}
+    assert (stats["t"].source_rows, stats["t"].written_rows, stats["t"].provider) == (19, 14, "dashscope")
+    assert stats["t"].elapsed_seconds > 0 and stats["total"].error_count == 5
+    spark.sql("DROP TABLE counted_target")
+
+
 def test_resume_of_files(spark):
     ledger = spark.createDataFrame([("b1", "completed", 1), ("b2", "failed", 1)], "batch_id string, status string, updated_at int")
     lines = spark.createDataFrame([('{"custom_id":"req-a%2Fb.png","response":{"status_code":200,"body":{}}}',)], "line string")
