@@ -143,11 +143,26 @@ def _finding(df: DataFrame, check: str, subject: Column, value: Column, issue: C
     )
 
 
-def dq_report(summary: DataFrame, master: DataFrame, tables: Mapping[str, DataFrame | None]) -> DataFrame:
+def unread_texts(raw: DataFrame, master: DataFrame, summary: DataFrame, spec: ChannelSpec = CHANNELS[3]) -> DataFrame:
+    """Per metric of a range channel, rows whose raw text has no number in the summary."""
+    pairs = raw_vs_parsed(raw, master, summary, spec)
+    metrics = [S.SALES, S.VOLUME, S.PRICE]
+    unread = [F.count_if((F.col(spec.midpoint[m]) != "") & F.col(m).isNull()).alias(m) for m in metrics]
+    return pairs.agg(*unread).unpivot([], metrics, "metric", "rows")
+
+
+def dq_report(
+    summary: DataFrame,
+    master: DataFrame,
+    tables: Mapping[str, DataFrame | None],
+    raw: DataFrame | None = None,
+    spec: ChannelSpec = CHANNELS[3],
+) -> DataFrame:
     """All checks as (check, subject, value, is_issue).
 
     ``summary`` and ``master`` should be stored tables. All checks that count rows share one scan
-    of the summary; the others read the few columns they need.
+    of the summary; the others read the few columns they need. ``raw`` is the sales table of the
+    range channel whose texts are held against its numbers.
     """
     always, never = F.lit(True), F.lit(False)
     channel_brand = F.concat_ws("/", S.CHANNEL, S.BRAND, S.PRODUCT)
@@ -166,6 +181,9 @@ def dq_report(summary: DataFrame, master: DataFrame, tables: Mapping[str, DataFr
         _finding(duplicates(summary), "duplicate", F.concat_ws("/", S.CHANNEL, S.CODE), F.col("cnt"), always),
         _finding(complete_rows, "master_gap", F.concat_ws("/", S.PLATFORM, "gap"), F.col("rows"), never),
     ]
+    if raw is not None:
+        subject = F.concat_ws("/", F.lit(spec.channel), "metric")
+        checks.append(_finding(unread_texts(raw, master, summary, spec), "unread_text", subject, F.col("rows"), never))
     return reduce(DataFrame.unionByName, checks)
 
 

@@ -322,6 +322,13 @@ _REPORT = (
         f"UNION ALL SELECT 'master_gap', platform || '/{alias}', CAST(COUNT(*) FILTER (WHERE {test}) AS DOUBLE), FALSE FROM master GROUP BY platform"
         for alias, test in [("no_brand", f"NOT {_has('brand')}"), ("no_cat3", "cat3 = ''"), ("no_spec", "spec = ''")]
     )
+    + " "
+    + " ".join(
+        f"UNION ALL SELECT 'unread_text', '京东自营/{a}', CAST(COUNT(*) FILTER (WHERE r.{text} <> '' AND s.{m} IS NULL) AS DOUBLE), FALSE "
+        "FROM f_sales_de r JOIN master m ON r.item_key = m.source_key AND m.platform = '京东自营' "
+        "JOIN summary s ON m.code = s.code AND s.channel = '京东自营' WHERE r.region = 3"
+        for m, a, text in [("sales", "销售额", "amount_range"), ("volume", "销量", "count_range"), ("price", "件单价", "price_range")]
+    )
 )
 
 _EVENT_COLUMNS = [

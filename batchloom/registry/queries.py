@@ -697,7 +697,9 @@ def spec_histogram(spark, sf):
 @query
 def dq_report(spark, sf):
     named = {f"sales_{i}": df for i, df in enumerate(sales_tables(spark, sf).values())}
-    return quality.dq_report(_summary(spark, sf), _master(spark, sf), {**named, "old_master": None})
+    return quality.dq_report(
+        _summary(spark, sf), _master(spark, sf), {**named, "old_master": None}, _jd_self(spark, sf)
+    )
 
 
 # --- analyses ---
