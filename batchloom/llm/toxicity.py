@@ -173,7 +173,7 @@ def fit(
 ) -> OrdinalModel:
     """The model for documents and a table (id, grade) of severity grades 0, 1, 2, ...
 
-    With ``split``, 0/1 grades are refined: of the documents above 0, those whose share of telling words is above
+    With ``split``, 0/1 grades are refined: of the documents above 0, those with more distinct telling words than
     the median get grade 2.
     """
     sample = labelled_sample(docs, grades, id_col, rows)
@@ -189,18 +189,18 @@ def fit(
                 words = text_words(text)
                 counts = Counter(index[f] for w in words for f in word_features(w) if f in index)
                 telling = sum(any(f in index for f in word_features(w)) for w in words)
-                found.append((list(counts), list(counts.values()), telling / max(1, len(words))))
+                found.append((list(counts), list(counts.values()), telling))
             yield pd.DataFrame({"grade": part["grade"]}).assign(
-                at=[f[0] for f in found], n=[f[1] for f in found], share=[f[2] for f in found]
+                at=[f[0] for f in found], n=[f[1] for f in found], dose=[f[2] for f in found]
             )
 
-    found = sample.mapInPandas(sparse, "grade int, at array<int>, n array<int>, share double").toPandas()
-    found["order"] = [(g, s, sorted(zip(a, n))) for g, a, n, s in zip(found["grade"], found["at"], found["n"], found["share"])]
+    found = sample.mapInPandas(sparse, "grade int, at array<int>, n array<int>, dose int").toPandas()
+    found["order"] = [(g, s, sorted(zip(a, n))) for g, a, n, s in zip(found["grade"], found["at"], found["n"], found["dose"])]
     found = found.sort_values("order", kind="stable")
     grade = found["grade"].to_numpy()
     if split:
-        share = found["share"].to_numpy()
-        grade = np.where((grade > 0) & (share > np.median(share[grade > 0])), 2, grade)
+        dose = found["dose"].to_numpy()
+        grade = np.where((grade > 0) & (dose > np.median(dose[grade > 0])), 2, grade)
     grade = np.searchsorted(np.unique(grade), grade)
     x = np.zeros((len(found), len(features)), dtype=np.float32)
     for i, (at, n) in enumerate(zip(found["at"], found["n"])):
