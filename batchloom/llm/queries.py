@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchloom.llm import bpe, decontam, quality, simhash, toxicity
-from batchloom.llm.common import table
+from batchloom.llm import bpe, decontam, fixity, html, langid, lm, quality, sharding, simhash, toxicity
+from batchloom.llm.common import id_remainder, table
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,50 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.main_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return sharding.interleaved(docs).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = id_remainder(F.col("doc_id"), 3)
+    trees = langid.learn(docs.where(rest != 1))
+    return docs.select(
+        "doc_id",
+        F.coalesce(rest == 1, F.lit(False)).alias("held_out"),
+        langid.language(F.col("text"), trees).alias("found"),
+    ).select("doc_id", "held_out", "found.*")
+
+
+#: What befalls the second replica of op8: of every DAMAGE pages about one is altered and one is lost.
+DAMAGE = 499
+
+
+def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of two replicas of an archive of ``pages``; in the second, some records are altered or lost."""
+    pages = table(spark, sf_dir, "pages").select("page_id", fixity.warc_record(F.col("url"), F.col("html")).alias("record"))
+    first = fixity.materialise(fixity.place_records(pages, "page_id"), "archive")
+    fate = F.col("key") % DAMAGE
+    second = first.where(fate != 7).withColumn(
+        "digest", F.when(fate == 3, F.sha2(F.concat("digest", F.lit("!")), 256)).otherwise(F.col("digest"))
+    )
+    return fixity.audit(first, second).withColumnRenamed("key", "page_id")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
@@ -55,8 +99,26 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_quality, op3_toxicity, op4_decontamination, op9_simhash)
+    f.__name__: f
+    for f in (
+        op1_bpe,
+        op2_quality,
+        op3_toxicity,
+        op4_decontamination,
+        op5_main_text,
+        op6_sharding,
+        op7_language,
+        op8_fixity,
+        op9_simhash,
+        op10_lm,
+    )
 }
 
 ORACLE: dict[str, str] = {}
