@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 SEGMENT_CHARS = 1_000_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 #: Bytes up to which a scan beats a heap, and a rank above all others.
 SHORT, NO_RANK = 48, 1 << 40
 
@@ -165,7 +165,7 @@ def ids_of(text: Column, path: str) -> Column:
 
     @F.pandas_udf("array<int>")
     def encode(texts: pd.Series) -> pd.Series:
-        return texts.map(loaded(path).encode)
+        return pd.Series([np.array(loaded(path).encode(t), dtype=np.int32) for t in texts], dtype=object)
 
     return encode(text)
 

@@ -87,7 +87,7 @@ class ContextTrees:
         known[0] |= {0}
         nodes = [(order, c) for order in range(ORDER + 1) for c in sorted(known[order])]
         self.node = {key: i for i, key in enumerate(nodes)}
-        seen = sorted({g & 255 for lang in self.langs for g in counts[lang][0]})
+        seen = sorted({10} | {g & 255 for lang in self.langs for g in counts[lang][0]})
         #: Bytes seen in training get a symbol each; all others share the last, at the price of a uniform code.
         self.symbol = np.full(256, len(seen), dtype=np.int64)
         self.symbol[seen] = np.arange(len(seen))
@@ -108,7 +108,7 @@ class ContextTrees:
                         row[self.symbol[byte]] = np.log2((total + kinds) / n)
                 bits[i, :, at] = row
         self.width = width
-        self.bits = bits.reshape(-1, len(self.langs))
+        self.bits = bits.reshape(len(nodes) * width, len(self.langs))
         #: The node of the last three symbols: that of the longest known context, longer ones written last.
         by_context = np.zeros((width,) * ORDER, dtype=np.int32)
         for (order, context), i in self.node.items():

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from batchloom.llm.common import id_remainder, words_of
 from batchloom.storage import materialise
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 RANGE_KEYS = 1_500_000
 BUCKETS = 24
 BINS = 128
