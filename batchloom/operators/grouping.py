@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchloom.storage import materialise, work_path
+from batchloom.storage import materialise
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
@@ -21,36 +21,14 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str
     return df.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def sequence_in_group(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    out: str = "seq",
-    max_group_rows: int = 2_000_000,
-    slices: int | None = None,
-) -> DataFrame:
-    """Number the rows of each group from 1 in ``order``; a NULL group value is a group.
+def _running_counts(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, slices: int | None) -> DataFrame:
+    """Rows numbered from 1 in each group, by slices that are range-partitioned on group and order.
 
-    The input is written once, and its largest group measured with a pre-aggregated count. Up to
-    ``max_group_rows`` a plain window does. Beyond that the rows are range-partitioned on group and
-    order, numbered per slice, and shifted by the rows of the same group in earlier slices, so a
-    group of any size is spread over many tasks. ``slices`` asks for that way with so many slices.
+    The slices are written, numbered each on its own, and shifted by the rows of the same group in
+    earlier slices, so a group of any size is spread over many tasks.
     """
-    if slices:
-        return _sequence_by_slices(df, group, order, out, slices)
-    staged = materialise(df, "sequence")
-    sizes = staged.groupBy(*group).agg(F.count("*").alias("rows"))
-    measured = sizes.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
-    if (measured["largest"] or 0) <= max_group_rows:
-        return staged.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-
-    return _sequence_by_slices(staged, group, order, out, -(-measured["total"] // max_group_rows) * 2)
-
-
-def _sequence_by_slices(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, slices: int
-) -> DataFrame:
-    ranged = df.repartitionByRange(slices, *group, *order).withColumn("_slice", F.spark_partition_id())
+    parts = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *group, *order).withColumn("_slice", F.spark_partition_id())
     # spark_partition_id() would be drawn again on a second read, hence the written copy.
     cut = materialise(ranged, "sequence-slices")
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,34 +42,69 @@ def _sequence_by_slices(
     numbered = cut.withColumn("_local", F.row_number().over(local))
     left, right = numbered.alias("n"), offsets.alias("o")
     same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*group, "_slice")]
-    total = (F.col("_local") + F.col("o._before")).cast("int")
     joined = left.join(right, reduce(lambda a, b: a & b, same))
-    return joined.select(*[F.col(f"n.{c}").alias(c) for c in df.columns], total.alias(out))
+    return joined.select(*[F.col(f"n.{c}").alias(c) for c in df.columns], (F.col("_local") + F.col("o._before")).alias(out))
 
 
-def take_first(df: DataFrame, order: Sequence[str], n: int, in_one_task: int = 1000) -> DataFrame:
-    """The first ``n`` rows in ``order``, exactly.
+def sequence_in_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "seq", slices: int | None = None
+) -> DataFrame:
+    """Number the rows of each group from 1 in ``order``; a NULL group value is a group.
 
-    Spark's top-n gathers ``n`` rows of every partition in one task, which is right for a report and
-    wrong for a cap of many thousand wide rows. Beyond ``in_one_task`` the rows are range-partitioned
-    and written per slice, and whole slices are taken until the cap falls inside one.
+    One way for groups of every size. Only group and order columns are sliced and numbered; the
+    other columns are joined back on them, so ``order`` must tell the rows of a group apart. ``slices``
+    sets how many slices are cut.
     """
-    if n <= in_one_task:
-        return df.orderBy(*order).limit(n)
-    spark = df.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
-    path = work_path(spark, "slices")
-    ranged.write.partitionBy("_slice").parquet(path)
-    cut = spark.read.schema(ranged.schema).parquet(path)
-    left, whole, rest = n, [], None
-    for row in cut.groupBy("_slice").agg(F.count("*").alias("rows")).orderBy("_slice").collect():
-        if row["rows"] > left:
-            rest = row["_slice"]
-            break
-        whole.append(row["_slice"])
-        left -= row["rows"]
-    taken = cut.where(F.col("_slice").isin(whole))
-    if rest is not None and left:
-        taken = taken.unionByName(cut.where(F.col("_slice") == rest).orderBy(*order).limit(left))
-    return taken.select(*df.columns)
+    narrow = list(dict.fromkeys([*group, *order]))
+    numbered = _running_counts(df.select(*narrow), group, order, out, slices)
+    if set(narrow) == set(df.columns):
+        return numbered.select(*df.columns, F.col(out).cast("int").alias(out))
+    renamed = numbered.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(narrow)], F.col(out).cast("int").alias(out))
+    same = [df[c].eqNullSafe(renamed[f"_k{i}"]) for i, c in enumerate(narrow)]
+    return df.join(renamed, reduce(lambda a, b: a & b, same)).select(*[df[c] for c in df.columns], out)
+
+
+def take_first(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows in ``order``, exactly; NULLs come first.
+
+    The cut is found on the order columns alone: they are numbered by slices, and the n-th value,
+    with how many of its equals are still taken, bounds the rows. No task gathers ``n`` rows, and no
+    other column moves before the cut is known. Of rows that are equal in ``order`` any may be taken.
+    """
+    if n <= 0:
+        return df.limit(0)
+    counted = df.groupBy(*order).agg(F.count("*").alias("_copies"))
+    ranked = _running_totals(counted, order)
+    cut = materialise(ranked.where(F.col("_before") < n), "first-keys")
+    keys = cut.select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)], (F.lit(n) - F.col("_before")).alias("_left"), "_copies"
+    )
+    same = [df[c].eqNullSafe(keys[f"_k{i}"]) for i, c in enumerate(order)]
+    taken = df.join(keys, reduce(lambda a, b: a & b, same))
+    own = [df[c].alias(c) for c in df.columns]
+    whole = taken.where("_copies <= _left").select(*own)
+    return whole.unionByName(taken.where("_copies > _left").select(*own, "_left").transform(_limit_ties(df.columns)))
+
+
+def _limit_ties(columns: Sequence[str]):
+    """At most one key is cut through; its rows are limited to what is left."""
+
+    def of(ties: DataFrame) -> DataFrame:
+        left = ties.select("_left").limit(1).collect()
+        return ties.select(*columns).limit(left[0]["_left"] if left else 0)
+
+    return of
+
+
+def _running_totals(counted: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``counted`` with ``_before``: the copies of all earlier keys."""
+    parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counted.repartitionByRange(parts, *order).withColumn("_slice", F.spark_partition_id())
+    cut = materialise(ranged, "key-slices")
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # a row for each slice
+    offsets = cut.groupBy("_slice").agg(F.sum("_copies").alias("_rows"))
+    offsets = offsets.select(F.col("_slice").alias("_of"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.withColumn("_local", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
+    joined = local.join(offsets, F.col("_slice") == F.col("_of"))
+    return joined.select(*order, "_copies", (F.col("_start") + F.col("_local")).alias("_before"))

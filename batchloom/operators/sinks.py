@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchloom import schemas
-from batchloom.storage import inline_rows, is_path, materialise, partitioned_by, read_table, table_exists
+from batchloom.storage import (
+    inline_rows,
+    is_path,
+    keep_layout,
+    layout_of,
+    materialise,
+    partition_values,
+    partitioned_by,
+    read_table,
+    table_exists,
+)
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -17,7 +27,11 @@ _REAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 def ensure_table(spark: SparkSession, target: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
     """Create an empty target with this layout unless it exists."""
-    if not table_exists(spark, target):
+    if table_exists(spark, target):
+        return
+    if is_path(target):
+        keep_layout(spark, target, schema, partition_by)
+    else:
         _write(inline_rows(spark, [], schema), target, "ignore", partition_by)
 
 
@@ -32,9 +46,16 @@ def add_missing_columns(df: DataFrame, wanted: T.StructType = schemas.METADATA)
 
 
 def evolve_table(spark: SparkSession, target: str, wanted: T.StructType = schemas.METADATA) -> list[str]:
-    """Add missing columns to a catalog table in place; no data is rewritten."""
-    missing = missing_columns(spark.table(target).schema, wanted)
-    if missing:
+    """Add missing columns to a target in place; no data is rewritten.
+
+    A folder keeps its new layout beside the data, by which ``read_table`` reads it.
+    """
+    held = read_table(spark, target).schema
+    missing = missing_columns(held, wanted)
+    if missing and is_path(target):
+        parts = [c for c in held.names if partitioned_by(spark, target, c)]
+        keep_layout(spark, target, T.StructType([*held.fields, *missing]), parts)
+    elif missing:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
         spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({columns})")
     return [f.name for f in missing]
@@ -84,43 +105,61 @@ def _write(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] =
 def new_batches(df: DataFrame, existing: DataFrame | None) -> DataFrame:
     """Rows of batches the target does not hold; a target without batch ids holds none.
 
-    The target's batch ids are written as a small table first. Spark then plans the join by their
-    real size rather than the target's, and as a rule need not shuffle ``df`` for it.
+    Rows without a batch id always pass: nothing says that they were seen before.
     """
     if existing is None or "batch_id" not in [c.lower() for c in existing.columns]:
         return df
-    known = materialise(existing.select("batch_id").distinct(), "known-batches")
+    known = materialise(existing.select("batch_id").where("batch_id <> ''").distinct(), "known-batches")
     return df.join(known, "batch_id", "left_anti").select(*df.columns)
 
 
 def idempotent_append(df: DataFrame, target: str, rebalance: bool = True) -> None:
     """Append only batches the target does not hold yet, each batch whole or not at all.
 
-    A target made here is partitioned by batch: finding known batches reads no data, and a retried
-    write replaces a batch's partition instead of adding to it. The rebalance spreads a very large
-    batch over several files and joins small ones, where a plain repartition would make it one task;
-    rows of a single batch do without. A target of another layout gets a plain append of its new batches; rows take its column types.
+    A target made here is partitioned by batch: known batches are the names of its partitions, and a
+    retried write replaces a batch's partition instead of adding to it. The rebalance spreads a very
+    large batch over several files and joins small ones, where a plain repartition would make it one
+    task; rows of a single batch do without. A target of another layout gets a plain append of its
+    new batches; rows take its column types. A target without batch ids gets that column first.
+
+    Rows with a NULL or empty batch id can't be told from earlier ones: they are appended each time
+    and never replace anything.
     """
     spark = df.sparkSession
     if not table_exists(spark, target):
-        writer = _spread(df, rebalance).write.partitionBy("batch_id")
+        writer = _spread(df, rebalance).write.mode("append").partitionBy("batch_id")
         writer.parquet(target) if is_path(target) else writer.saveAsTable(target)
         return
+    if "batch_id" in df.columns:
+        evolve_table(spark, target, T.StructType([T.StructField("batch_id", T.StringType())]))
     existing = read_table(spark, target)
-    aligned = add_missing_columns(align_to_schema(df, existing.schema), existing.schema)
-    fresh = new_batches(aligned, existing).select(*existing.columns)
+    aligned = add_missing_columns(align_to_schema(df, existing.schema), existing.schema).select(*existing.columns)
     if not partitioned_by(spark, target, "batch_id"):
-        _write(fresh, target, "append")
+        _append(new_batches(aligned, existing), target)
+        return
+    held = [(v,) for v in partition_values(spark, target, "batch_id")]
+    known = inline_rows(spark, held, "batch_id string")
+    blank = F.coalesce(F.col("batch_id"), F.lit("")) == ""
+    fresh = aligned.where(~blank).join(known, "batch_id", "left_anti").select(*existing.columns)
+    if is_path(target):
+        replacing = _spread(fresh, rebalance).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        replacing.partitionBy("batch_id").parquet(target)
+    else:
+        _append(_spread(fresh, rebalance), target)
+    _append(aligned.where(blank), target)
+
+
+def _append(df: DataFrame, target: str) -> None:
+    """Add rows to an existing target under its own layout."""
+    if not is_path(target):
+        df.write.mode("append").insertInto(target)
         return
-    # A catalog table's writer takes the overwrite mode from the session, not from its options.
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        writer = _spread(fresh, rebalance).write.mode("overwrite")
-        writer.partitionBy("batch_id").parquet(target) if is_path(target) else writer.insertInto(target)
-    finally:
-        spark.conf.set(setting, before)
+    kept = layout_of(df.sparkSession, target)
+    parts = kept["partition_by"] if kept else []
+    if not parts and partitioned_by(df.sparkSession, target, "batch_id"):
+        parts = ["batch_id"]
+    writer = df.write.mode("append")
+    (writer.partitionBy(*parts) if parts else writer).parquet(target)
 
 
 def _spread(df: DataFrame, rebalance: bool) -> DataFrame:

@@ -14,6 +14,7 @@ from batchloom import schemas as S
 from batchloom.functions.ranges import nonzero, normalise_ranges, within
 from batchloom.functions.text import to_integer, to_number
 from batchloom.operators.grouping import sequence_in_group
+from batchloom.storage import materialise
 
 # Level 1 and 2 categories of every product in the master.
 LEVEL1 = "宠物用品"
@@ -143,7 +144,6 @@ def product_master(
     results: Mapping[str, DataFrame],
     sales: Mapping[str, DataFrame],
     specs: Sequence[ChannelSpec] = CHANNELS,
-    max_group_rows: int = 2_000_000,
 ) -> DataFrame:
     """The de-duplicated product master of all channels.
 
@@ -153,10 +153,8 @@ def product_master(
     """
     unique = dedupe_results(union_channels(results, specs))
     named = attach_source_names(unique, source_names(sales, specs), specs)
-    parsed = parse_product_json(named)
-    numbered = sequence_in_group(
-        parsed, [S.BRAND, S.CAT_CODE], ["platform", "source_key"], max_group_rows=max_group_rows
-    )
+    parsed = materialise(parse_product_json(named), "products")
+    numbered = sequence_in_group(parsed, [S.BRAND, S.CAT_CODE], ["platform", "source_key"])
     empty = F.lit("")
     return numbered.select(
         F.coalesce(S.BRAND, empty).alias(S.BRAND),
@@ -187,8 +185,8 @@ def bound_metrics(df: DataFrame, price_limit: float = PRICE_LIMIT, conversion_li
     )
 
 
-def standardise_channel(sales: DataFrame, spec: ChannelSpec) -> DataFrame:
-    """One channel's sales table as (channel, key, six metrics, precision)."""
+def standardise_channel(sales: DataFrame, spec: ChannelSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """One channel's sales table as (channel, key, six metrics, precision), and its own columns in ``keep``."""
     metrics: dict[str, Column] = {m: F.lit(None).cast("double") for m in S.METRICS}
     metrics |= {m: to_number(F.col(c)) for m, c in spec.exact.items()}
     metrics |= {m: F.col(f"_{m}") for m in spec.midpoint}
@@ -200,6 +198,7 @@ def standardise_channel(sales: DataFrame, spec: ChannelSpec) -> DataFrame:
         F.col(spec.key).cast("string").alias(S.SOURCE_KEY),
         *[metrics[m].alias(m) for m in S.METRICS],
         F.lit(spec.precision).alias(S.PRECISION),
+        *keep,
     )
     for metric, rule in spec.derived.items():
         typed = typed.withColumn(metric, _DERIVED[rule]())

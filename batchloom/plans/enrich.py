@@ -20,7 +20,7 @@ from batchloom.operators.requests import RequestOptions
 from batchloom.operators.sinks import align_to_schema, append_results, evolve_table, idempotent_append, new_batches
 from batchloom.sources.files import attach_urls, extension_glob, list_files
 from batchloom.sources.lines import read_error_lines, read_result_lines
-from batchloom.storage import inline_rows, is_path, materialise, path_exists, table_exists
+from batchloom.storage import inline_rows, materialise, path_exists, table_exists
 
 # A scorer maps requests (custom_id, request, ...) to result and error lines (custom_id, line, kind),
 # where kind is 'result' or 'error'.
@@ -129,7 +129,7 @@ def enrich(
         results.attach_request_context(flat, sent), options.provider, batch_id, at, include_raw
     )
     rows = results.table_results(audited, keys, result_column)
-    selected = sent if limit > 0 else incremental.unprocessed_rows(wanted.select(*keys), target, keys)
+    selected = incremental.unprocessed_rows(wanted.select(*keys), target, keys)
     layout = schemas.target_schema(source.schema, list(keys), result_column)
     _, unkeyed = incremental.split_null_keys(wanted, keys)
     return Run(selected, sent, flat, errors, quarantine, rows, _labels(options, batch_id), layout, unkeyed)
@@ -177,7 +177,7 @@ def enrich_files(
     located = results.attach_file_metadata(flat, sent, volume, options.user_prompt)
     audited = results.stamp_metadata(located, options.provider, batch_id, at, include_raw)
     rows = results.file_results(audited, result_column)
-    selected = sent if limit > 0 else fresh
+    selected = fresh
     layout = schemas.file_target_schema(result_column)
     return Run(selected, sent, flat, errors, quarantine, rows, _labels(options, batch_id), layout)
 
@@ -185,8 +185,8 @@ def enrich_files(
 def write_run(run: Run, target: str, mode: str = "append", full_refresh: bool = False) -> None:
     """Write a run's rows. Appends skip batches the target has.
 
-    A new target gets key types from the source. A catalog table that lacks audit columns gets
-    them; otherwise only columns the target has are written. Overwriting after an incremental
+    A new target gets key types from the source. A target that lacks audit columns gets them;
+    otherwise only columns the target has are written. Overwriting after an incremental
     selection would lose all earlier rows, so it has to be asked for with ``full_refresh``.
     """
     spark = run.rows.sparkSession
@@ -194,8 +194,7 @@ def write_run(run: Run, target: str, mode: str = "append", full_refresh: bool =
         if not table_exists(spark, target):
             idempotent_append(align_to_schema(run.rows, run.layout), target, rebalance=False)
             return
-        if not is_path(target):
-            evolve_table(spark, target)
+        evolve_table(spark, target)
         idempotent_append(run.rows, target, rebalance=False)
         return
     if not full_refresh:
@@ -283,9 +282,9 @@ def preview(
 
 
 def preview_files(files: DataFrame, urls: DataFrame, scorer: Scorer, options: RequestOptions, n: int = 1) -> DataFrame:
-    """Score the first ``n`` files without writing."""
-    first = files.orderBy("relative_path").limit(n)
-    sample = requests.build_media_requests(attach_urls(first, urls), options)
+    """Score the first ``n`` files that can be sent, without writing."""
+    sendable = requests.build_media_requests(attach_urls(files, urls), options)
+    sample = sendable.orderBy("relative_path").limit(n)
     good, _ = read_result_lines(scorer(sample).where(F.col("kind") == "result").select("line"))
     flat = results.attach_file_metadata(results.flatten_results(good), sample, "", options.user_prompt)
     described = F.concat(F.lit("["), media_type(F.col("file_path")), F.lit("] "), F.col("file_path"))

@@ -12,7 +12,7 @@ from batchloom import schemas as S
 from batchloom.functions.text import has_value
 from batchloom.operators.sinks import table_counts
 from batchloom.plans.analytics import MAIN_CHANNEL, band, volume_spread
-from batchloom.plans.channels import CHANNELS, ChannelSpec
+from batchloom.plans.channels import CHANNELS, ChannelSpec, standardise_channel
 
 # Audit thresholds.
 PRICE_ALARM = 1000
@@ -22,18 +22,20 @@ SIGNED_METRICS = [S.SALES, S.VOLUME, S.PRICE, S.TRAFFIC]
 NULL_COUNTS = dict(zip(S.METRICS, ["n_sales", "n_vol", "n_price", "n_traffic", "n_conv", "n_rank"]))
 
 
-def price_anomalies(summary: DataFrame, above: float = PRICE_ALARM, n: int = 10) -> DataFrame:
+def price_anomalies(summary: DataFrame, above: float = PRICE_ALARM, n: int | None = 10) -> DataFrame:
     return _highest(summary, S.PRICE, above, n)
 
 
-def conversion_anomalies(summary: DataFrame, above: float = CONVERSION_ALARM, n: int = 10) -> DataFrame:
+def conversion_anomalies(summary: DataFrame, above: float = CONVERSION_ALARM, n: int | None = 10) -> DataFrame:
     return _highest(summary, S.CONVERSION, above, n)
 
 
-def _highest(summary: DataFrame, metric: str, above: float, n: int) -> DataFrame:
+def _highest(summary: DataFrame, metric: str, above: float, n: int | None) -> DataFrame:
+    """Rows above a limit: the ``n`` highest, or all of them without ``n``."""
     rows = summary.where(F.col(metric) > above)
-    first = rows.orderBy(F.desc(metric), S.CHANNEL, S.CODE, S.PRODUCT).limit(n)
-    return first.select(S.CHANNEL, S.BRAND, S.PRODUCT, metric)
+    if n is not None:
+        rows = rows.orderBy(F.desc(metric), S.CHANNEL, S.CODE, S.PRODUCT).limit(n)
+    return rows.select(S.CHANNEL, S.BRAND, S.PRODUCT, metric)
 
 
 def empty_brands(summary: DataFrame) -> DataFrame:
@@ -54,25 +56,23 @@ def null_rates(summary: DataFrame) -> DataFrame:
     )
 
 
-def duplicates(summary: DataFrame, n: int = 5) -> DataFrame:
-    """Product codes that occur more than once in a channel, most frequent first."""
+def duplicates(summary: DataFrame, n: int | None = 5) -> DataFrame:
+    """Product codes that occur more than once in a channel: the ``n`` most frequent, or all without ``n``."""
     counted = summary.groupBy(S.CHANNEL, S.CODE).agg(F.count("*").alias("cnt")).where(F.col("cnt") > 1)
-    return counted.orderBy(F.desc("cnt"), S.CHANNEL, S.CODE).limit(n)
+    return counted if n is None else counted.orderBy(F.desc("cnt"), S.CHANNEL, S.CODE).limit(n)
 
 
-def raw_vs_parsed(
-    raw: DataFrame, master: DataFrame, summary: DataFrame, spec: ChannelSpec = CHANNELS[3]
-) -> DataFrame:
-    """A range channel's raw texts beside the numbers they were read as, for every row.
+def raw_vs_parsed(raw: DataFrame, master: DataFrame, spec: ChannelSpec = CHANNELS[3]) -> DataFrame:
+    """A range channel's raw texts beside the numbers they are read as, for every row with a master entry.
 
-    Raw and master meet on the product key, summary rows join on the product code. Texts are
-    compared in bulk here, where a look at a few rows would do for one reader.
+    Each row is read beside its own texts, by the same rules as the channel summary, so repeated products
+    and product codes that collide can't pair texts with the numbers of other rows.
     """
-    own = master.where(F.col(S.PLATFORM) == spec.channel).select(F.col(S.SOURCE_KEY).alias(spec.key), S.CODE)
-    parsed = summary.where(F.col(S.CHANNEL) == spec.channel).select(S.CODE, S.SALES, S.VOLUME, S.PRICE)
-    texts = [spec.midpoint[m] for m in (S.SALES, S.VOLUME, S.PRICE)]
-    named = raw.select(spec.key, spec.title, *texts)
-    return named.join(own, spec.key).join(parsed, S.CODE).drop(spec.key, S.CODE)
+    read = [S.SALES, S.VOLUME, S.PRICE]
+    texts = [spec.midpoint[m] for m in read]
+    own = master.where(F.col(S.PLATFORM) == spec.channel).select(S.SOURCE_KEY)
+    parsed = standardise_channel(raw, spec, [spec.title, *texts])
+    return parsed.join(own, S.SOURCE_KEY, "left_semi").select(spec.title, *texts, *read)
 
 
 def audit_price_bands(
@@ -143,9 +143,9 @@ def _finding(df: DataFrame, check: str, subject: Column, value: Column, issue: C
     )
 
 
-def unread_texts(raw: DataFrame, master: DataFrame, summary: DataFrame, spec: ChannelSpec = CHANNELS[3]) -> DataFrame:
-    """Per metric of a range channel, rows whose raw text has no number in the summary."""
-    pairs = raw_vs_parsed(raw, master, summary, spec)
+def unread_texts(raw: DataFrame, master: DataFrame, spec: ChannelSpec = CHANNELS[3]) -> DataFrame:
+    """Per metric of a range channel, rows whose raw text was read as no number."""
+    pairs = raw_vs_parsed(raw, master, spec)
     metrics = [S.SALES, S.VOLUME, S.PRICE]
     unread = [F.count_if((F.col(spec.midpoint[m]) != "") & F.col(m).isNull()).alias(m) for m in metrics]
     return pairs.agg(*unread).unpivot([], metrics, "metric", "rows")
@@ -174,16 +174,16 @@ def dq_report(
             table_counts(dict(tables), summary.sparkSession), "table_rows", F.col("table_name"), F.col("rows"),
             F.col("missing"),
         ),
-        _finding(price_anomalies(summary), "price_anomaly", channel_brand, F.col(S.PRICE), always),
-        _finding(conversion_anomalies(summary), "conversion_anomaly", channel_brand, F.col(S.CONVERSION), always),
+        _finding(price_anomalies(summary, n=None), "price_anomaly", channel_brand, F.col(S.PRICE), always),
+        _finding(conversion_anomalies(summary, n=None), "conversion_anomaly", channel_brand, F.col(S.CONVERSION), always),
         _finding(spread, "volume_distinct", F.lit("天猫"), F.col("distinct_v"), F.col("distinct_v") == 1),
         audit_counts(summary),
-        _finding(duplicates(summary), "duplicate", F.concat_ws("/", S.CHANNEL, S.CODE), F.col("cnt"), always),
+        _finding(duplicates(summary, n=None), "duplicate", F.concat_ws("/", S.CHANNEL, S.CODE), F.col("cnt"), always),
         _finding(complete_rows, "master_gap", F.concat_ws("/", S.PLATFORM, "gap"), F.col("rows"), never),
     ]
     if raw is not None:
         subject = F.concat_ws("/", F.lit(spec.channel), "metric")
-        checks.append(_finding(unread_texts(raw, master, summary, spec), "unread_text", subject, F.col("rows"), never))
+        checks.append(_finding(unread_texts(raw, master, spec), "unread_text", subject, F.col("rows"), never))
     return reduce(DataFrame.unionByName, checks)
 
 

@@ -283,10 +283,8 @@ def _top(metric: str, alias: str, above: int) -> str:
     )
 
 
-_DUPLICATES = (
-    "SELECT channel, code, COUNT(*) AS cnt FROM summary GROUP BY channel, code HAVING COUNT(*) > 1 "
-    "ORDER BY cnt DESC, channel, code LIMIT 5"
-)
+_ALL_DUPLICATES = "SELECT channel, code, COUNT(*) AS cnt FROM summary GROUP BY channel, code HAVING COUNT(*) > 1"
+_DUPLICATES = f"{_ALL_DUPLICATES} ORDER BY cnt DESC, channel, code LIMIT 5"
 _METRICS = [("sales", "销售额"), ("volume", "销量"), ("price", "件单价"), ("traffic", "浏览量"), ("conv", "转化率"), ("rank", "排名")]
 _NULL_ALIASES = ["n_sales", "n_vol", "n_price", "n_traffic", "n_conv", "n_rank"]
 _AUDIT_BAND = _bands("price", [50, 100, 200, 500, 1000])
@@ -300,9 +298,9 @@ _REPORT = (
     f"WITH {_SUMMARY} SELECT 'table_rows' AS \"check\", table_name AS subject, CAST(rows AS DOUBLE) AS value, missing AS is_issue "
     f"FROM ({_TABLE_COUNTS}) t "
     "UNION ALL SELECT 'price_anomaly', concat_ws('/', channel, brand, pname), price, TRUE FROM (SELECT * FROM summary "
-    "WHERE price > 1000 ORDER BY price DESC, channel, code, pname LIMIT 10) p "
+    "WHERE price > 1000) p "
     "UNION ALL SELECT 'conversion_anomaly', concat_ws('/', channel, brand, pname), conv, TRUE FROM (SELECT * FROM summary "
-    "WHERE conv > 100 ORDER BY conv DESC, channel, code, pname LIMIT 10) c "
+    "WHERE conv > 100) c "
     "UNION ALL SELECT 'volume_distinct', '天猫', CAST(COUNT(DISTINCT volume) AS DOUBLE), COUNT(DISTINCT volume) = 1 FROM summary "
     "WHERE channel = '天猫' "
     f"UNION ALL SELECT 'empty_brand', channel, CAST(COUNT(*) AS DOUBLE), TRUE FROM summary WHERE NOT {_has('brand')} GROUP BY channel "
@@ -315,7 +313,7 @@ _REPORT = (
         f"UNION ALL SELECT 'null_count', channel || '/{alias}', CAST({_nulls(m)} AS DOUBLE), FALSE FROM summary GROUP BY channel"
         for (m, _), alias in zip(_METRICS, _NULL_ALIASES)
     )
-    + f" UNION ALL SELECT 'duplicate', channel || '/' || code, CAST(cnt AS DOUBLE), TRUE FROM ({_DUPLICATES}) d "
+    + f" UNION ALL SELECT 'duplicate', channel || '/' || code, CAST(cnt AS DOUBLE), TRUE FROM ({_ALL_DUPLICATES}) d "
     f"UNION ALL SELECT 'price_band', {_AUDIT_BAND}, CAST(COUNT(*) AS DOUBLE), FALSE FROM summary WHERE channel = '京东自营' "
     "AND price IS NOT NULL GROUP BY 2 "
     + " ".join(

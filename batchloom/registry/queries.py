@@ -498,7 +498,7 @@ def stream_harvest(spark, sf):
         half.select("line").write.mode("append").text(folder)
         for started in harvest.stream_harvest(spark, folder, target, state, ["doc_id"], "dashscope", at=AT):
             started.awaitTermination()
-    rows = spark.read.parquet(target)
+    rows = read_table(spark, target)
     return rows.select("doc_id", "ai_result", "status_code", "total_tokens", "processed_at")
 
 
@@ -528,7 +528,7 @@ def stream_enriched(spark, sf):
         harvest.stream_enriched_view(
             spark, base, folder, done.schema, ["doc_id"], ["ai_result"], view, state
         ).awaitTermination()
-    return spark.read.parquet(view).select("doc_id", "lang", "ai_result")
+    return harvest.read_view(spark, view).select("doc_id", "lang", "ai_result")
 
 
 # --- channels ---
@@ -671,7 +671,7 @@ def dq_duplicates(spark, sf):
 
 @query
 def dq_raw_vs_parsed(spark, sf):
-    return quality.raw_vs_parsed(_jd_self(spark, sf), _master(spark, sf), _summary(spark, sf))
+    return quality.raw_vs_parsed(_jd_self(spark, sf), _master(spark, sf))
 
 
 @query

@@ -31,9 +31,19 @@ def read_source(
 
 
 def sheet_header(cells: Sequence[str | None]) -> list[str]:
-    """Column names of a sheet's first row; blank cells are named by their position."""
-    names = [(cell or "").strip() for cell in cells]
-    return [name or f"col_{i}" for i, name in enumerate(names)]
+    """Column names of a sheet's first row; blank cells are named by their position.
+
+    A name that was met before, in whatever case, gets the first free number behind it.
+    """
+    names, taken = [], set()
+    for i, cell in enumerate(cells):
+        name = first = (cell or "").strip() or f"col_{i}"
+        number = 2
+        while name.lower() in taken:
+            name, number = f"{first}_{number}", number + 1
+        taken.add(name.lower())
+        names.append(name)
+    return names
 
 
 def normalise_sheet(rows: DataFrame, cells_col: str = "cells", row_col: str = "row_no") -> DataFrame | None:

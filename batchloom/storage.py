@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _local_folders: dict[str, str] = {}
+_LAYOUT = "_layout.json"
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -24,7 +28,7 @@ def work_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="batchloom-")
@@ -67,19 +71,71 @@ def is_path(target: str) -> bool:
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:
-    return path_exists(spark, target) if is_path(target) else spark.catalog.tableExists(target)
+    """Whether a target is there: a folder counts once it has data or a layout of its own."""
+    if not is_path(target):
+        return spark.catalog.tableExists(target)
+    return layout_of(spark, target) is not None or has_data(spark, target)
 
 
-def path_exists(spark: SparkSession, location: str) -> bool:
+def _hadoop(spark: SparkSession, location: str):
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(location)
-    return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def path_exists(spark: SparkSession, location: str) -> bool:
+    files, path = _hadoop(spark, location)
+    return files.exists(path)
+
+
+def has_data(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder holds a file that readers would see; stops at the first."""
+    files, path = _hadoop(spark, folder)
+    if not files.exists(path):
+        return False
+    found = files.listFiles(path, True)
+    while found.hasNext():
+        name = found.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            return True
+    return False
+
+
+def layout_of(spark: SparkSession, folder: str) -> dict | None:
+    """The layout kept beside the data of a folder: its schema and the columns it is partitioned by."""
+    files, path = _hadoop(spark, f"{folder.rstrip('/')}/{_LAYOUT}")
+    if not files.exists(path):
+        return None
+    stream = files.open(path)
+    try:
+        kept = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return {"schema": T.StructType.fromJson(kept["schema"]), "partition_by": kept["partition_by"]}
+
+
+def keep_layout(spark: SparkSession, folder: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
+    """Keep a folder's layout: it has one before it has data, and may gain columns later."""
+    files, path = _hadoop(spark, f"{folder.rstrip('/')}/{_LAYOUT}")
+    text = json.dumps({"schema": schema.jsonValue(), "partition_by": list(partition_by)})
+    stream = files.create(path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
-    """A target as a DataFrame. Batch ids are text, also where partition names look like dates."""
+    """A target as a DataFrame. Batch ids are text, also where partition names look like dates.
+
+    A folder's kept layout decides its columns; files written before a column was added give NULLs.
+    """
     if not is_path(target):
         return spark.table(target)
+    if schema is None and (kept := layout_of(spark, target)):
+        schema = kept["schema"]
+        if not has_data(spark, target):
+            return inline_rows(spark, [], schema)
     if schema is None:
         found = spark.read.parquet(target)
         typed = [T.StructField(f.name, T.StringType()) if f.name == "batch_id" else f for f in found.schema.fields]
@@ -93,6 +149,22 @@ def partitioned_by(spark: SparkSession, target: str, column: str) -> bool:
     """Whether an existing target is laid out in partitions of ``column``."""
     if not is_path(target):
         return any(c.name == column and c.isPartition for c in spark.catalog.listColumns(target))
-    context = spark.sparkContext
-    parts = context._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{column}=*")
-    return len(parts.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(parts)) > 0
+    if (kept := layout_of(spark, target)) and kept["partition_by"]:
+        return column in kept["partition_by"]
+    return bool(_partition_folders(spark, target, column))
+
+
+def _partition_folders(spark: SparkSession, folder: str, column: str) -> list[str]:
+    files, path = _hadoop(spark, f"{folder.rstrip('/')}/{column}=*")
+    return [status.getPath().getName().partition("=")[2] for status in files.globStatus(path)]
+
+
+def partition_values(spark: SparkSession, target: str, column: str) -> list[str]:
+    """Values of a target's partition column from names alone; no data file is opened."""
+    if is_path(target):
+        names = _partition_folders(spark, target, column)
+    else:
+        rows = spark.sql(f"SHOW PARTITIONS {target}").collect()
+        parts = (dict(p.split("=", 1) for p in r[0].split("/")) for r in rows)
+        names = [p[column] for p in parts]
+    return [unquote(n) for n in names if n != "__HIVE_DEFAULT_PARTITION__"]

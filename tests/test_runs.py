@@ -153,11 +153,11 @@ def test_harvest_takes_each_file_once(spark):
         done = round_no == 2
         for query in harvest.stream_harvest(spark, folder, target, state, ["id"], "p", sent, bad, "2024-01-01T00:00:00Z"):
             query.awaitTermination()
-    rows = {r.id: r for r in spark.read.parquet(target).collect()}
+    rows = {r.id: r for r in read_table(spark, target).collect()}
     assert {k: r.ai_result for k, r in rows.items()} == {"1": "c1", "2": "c2"}
     assert rows["1"].source_text == "hello" and rows["2"].source_text == ""
     assert rows["1"].batch_id.startswith("part-")
-    assert [r.line for r in spark.read.parquet(bad).collect()] == ["junk"]
+    assert [r.line for r in read_table(spark, bad).collect()] == ["junk"]
 
 
 def test_harvest_of_file_results(spark):
