@@ -121,4 +121,74 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op2_quality": r"""
+WITH d AS (SELECT doc_id, source, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL),
+own AS (
+    SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+    FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+texts AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source),
+bad AS (
+    SELECT o.source, norm FROM own o JOIN texts t ON o.source IS NOT DISTINCT FROM t.source
+    GROUP BY o.source, norm, t.n HAVING count(DISTINCT text) >= 20 AND count(DISTINCT text) > 0.1 * t.n),
+by_line AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS dup,
+        coalesce(sum(len(string_split(o.norm, ' '))) FILTER (WHERE b.norm IS NOT NULL), 0) AS gone
+    FROM own o LEFT JOIN bad b ON o.norm = b.norm AND o.source IS NOT DISTINCT FROM b.source GROUP BY doc_id),
+windows AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+again AS (
+    SELECT doc_id, count(DISTINCT pos) AS n
+    FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM windows WHERE n > 1) GROUP BY doc_id),
+base AS (
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words,
+        CAST(coalesce(gone, 0) AS BIGINT) AS n_removed_words
+    FROM d LEFT JOIN by_line USING (doc_id) LEFT JOIN again USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_removed_words <= 0.5 * n_words AS kept
+FROM base
+""",
+    "op4_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS win, least(len(w), 10) AS size
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes),
+hits AS (
+    SELECT doc_id, i, p.size, item_id FROM places p JOIN windows v ON v.win = array_to_string(w[i:i + p.size - 1], ' ')),
+covered AS (
+    SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS pos FROM hits) GROUP BY doc_id),
+found AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(found.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(covered.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op8_fixity": rf"""
+WITH records AS (
+    SELECT page_id, 'WARC/1.0' || e || 'WARC-Type: resource' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e
+        || 'Content-Type: text/html' || e || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR) || e || e
+        || coalesce(html, '') || e || e AS record
+    FROM pages, (SELECT chr(13) || chr(10) AS e)),
+placed AS (
+    SELECT page_id, CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS digest,
+        CAST(coalesce(sum(strlen(record)) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+    FROM records)
+SELECT page_id, start // {fixity.FILE_BYTES} AS file, start % {fixity.FILE_BYTES} AS "offset", length,
+    CASE page_id % {DAMAGE} WHEN 7 THEN 'missing' ELSE 'changed' END AS kind, digest AS digest_a,
+    CASE page_id % {DAMAGE} WHEN 7 THEN '' ELSE sha256(digest || '!') END AS digest_b
+FROM placed WHERE page_id % {DAMAGE} IN (3, 7)
+""",
+}
