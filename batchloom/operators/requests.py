@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -14,7 +15,8 @@ from batchloom.functions.ids import request_id
 from batchloom.functions.media import URL_PART, is_supported, media_type
 from batchloom.functions.text import as_text, is_blank
 from batchloom.operators.grouping import keep_first
-from batchloom.operators.incremental import split_null_keys
+from batchloom.operators.incremental import split_null_keys, unprocessed_rows
+from batchloom.storage import materialise
 
 # Limits of the batch service.
 MAX_LINE_BYTES = 6 * 1024 * 1024
@@ -105,6 +107,26 @@ def first_copies(rows: DataFrame, keys: Sequence[str], text_col: str, order: Seq
     return dedupe_requests(drop_blank_text(complete, text_col), keys, order or [text_col])
 
 
+def fresh_copies(
+    rows: DataFrame, target: DataFrame | None, keys: Sequence[str], text_col: str, order: Sequence[str] = ()
+) -> DataFrame:
+    """First copies of keys that the target lacks.
+
+    With an ``order``, copies are chosen and processed keys removed on key and order columns alone; text
+    is fetched for the keys that are left, so a run over a source that is mostly done moves little of it.
+    Without one the least text decides, which needs the texts.
+    """
+    if target is None or not order:
+        return unprocessed_rows(first_copies(rows, keys, text_col, order), target, keys)
+    complete, _ = split_null_keys(rows, keys)
+    usable = drop_blank_text(complete, text_col)
+    narrow = list(dict.fromkeys([*keys, *order]))
+    chosen = materialise(unprocessed_rows(keep_first(usable.select(*narrow), keys, order), target, keys), "fresh-keys")
+    chosen = chosen.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(narrow)])
+    same = reduce(lambda a, b: a & b, [usable[c].eqNullSafe(chosen[f"_k{i}"]) for i, c in enumerate(narrow)])
+    return keep_first(usable.join(chosen, same, "left_semi"), keys, [*order, text_col])
+
+
 def render_requests(
     rows: DataFrame,
     keys: Sequence[str],

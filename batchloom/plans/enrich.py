@@ -114,11 +114,11 @@ def enrich(
     by rows that are never sent. The new rows are in ``Run.rows``; see ``write_run``.
 
     First copies are taken before processed keys are removed. Both go by key, so the result is the
-    same, and source rows are shuffled once, after the copies of each key were cut down to one.
+    same. With an ``order`` both look at narrow columns only, and text is read for the fresh keys.
     With ``keep``, requests are stored without the rendered line, which would hold the text twice.
     """
     wanted = source.where(F.expr(where)) if where else source
-    fresh = incremental.unprocessed_rows(requests.first_copies(wanted, keys, text_col, order), target, keys)
+    fresh = requests.fresh_copies(wanted, target, keys, text_col, order)
     built = requests.render_requests(fresh, keys, text_col, options)
     if limit > 0:
         built = take_first(built, keys, limit)

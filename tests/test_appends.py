@@ -155,3 +155,18 @@ def test_preview_skips_files_that_cannot_be_sent(spark):
     line = F.concat(F.lit('{"custom_id":"'), "custom_id", F.lit('","response":{"status_code":200,"body":{}}}'))
     shown = enrich.preview_files(files, urls, enrich.column_scorer(line), RequestOptions.for_provider("dashscope", files=True), n=1)
     assert [r.custom_id for r in shown.collect()] == ["req-c.jpg"]
+
+
+def test_text_of_processed_keys_is_not_moved(spark):
+    from batchloom.operators import requests
+    from batchloom.storage import materialise
+
+    rows = [(i % 40, i, f"text {i} " * 20) for i in range(120)] + [(50, None, "late"), (50, None, "late"), (51, 1, " "), (None, 1, "x")]
+    source = materialise(spark.createDataFrame(rows, "k int, o int, body string"), "source")
+    done = materialise(spark.range(38).select(F.col("id").cast("int").alias("k")), "done")
+    fresh = requests.fresh_copies(source, done, ["k"], "body", ["o"])
+    old = requests.unprocessed_rows(requests.first_copies(source, ["k"], "body", ["o"]), done, ["k"])
+    assert sorted(map(str, fresh.collect())) == sorted(map(str, old.collect())) and fresh.count() == 3
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("LeftSemi")]
+    assert above.count("Exchange hashpartitioning") == 1 and "BroadcastExchange" in plan
