@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +25,6 @@ def has_letter(text: str) -> bool:
     return any(m[0].isalpha() for m in _LETTER.finditer(text))
 
 
-def fold(number: int, partition_count: int) -> int:
-    return number % partition_count
-
-
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of an id's decimal text, modulo ``modulus``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
@@ -39,8 +33,3 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
 def task_partitions(df: DataFrame, least: int = 1) -> int:
     """The session's shuffle partitions, for explicit repartitions."""
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def batches(items: list, size: int) -> Iterator[list]:
-    for start in range(0, len(items), size):
-        yield items[start : start + size]

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchloom.llm.common import words_of
+from batchloom.llm.common import task_partitions, words_of
 from batchloom.llm.components import components
 from batchloom.storage import materialise
 
@@ -130,6 +130,11 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _dealt(fps: DataFrame) -> DataFrame:
+    """``fps`` over all tasks: the table is small, but each row becomes dozens."""
+    return fps.repartition(task_partitions(fps), "fp")
+
+
 def _labelled(fps: DataFrame, labels: DataFrame) -> DataFrame:
     found = labels.select(F.col("node").alias("fp"), "component")
     return fps.join(found, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
@@ -137,7 +142,7 @@ def _labelled(fps: DataFrame, labels: DataFrame) -> DataFrame:
 
 def chain_links(fps: DataFrame) -> DataFrame:
     """Links (a, b) between fingerprints of different components of ``fps`` (fp, component)."""
-    rows = _blocked(fps)
+    rows = _blocked(_dealt(fps))
     mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = mixed.where("low < high").select("key")
     rows = materialise(rows.join(mixed, "key", "left_semi"), "blocks")
@@ -163,7 +168,7 @@ def chain_links(fps: DataFrame) -> DataFrame:
 def fingerprint_components(fps: DataFrame) -> DataFrame:
     """(fp, component) for the distinct fingerprints of ``fps``."""
     distinct = materialise(fps.select("fp").distinct(), "distinct-fps")
-    tied = materialise(_labelled(distinct, components(_nibble_links(distinct))), "tied-fps")
+    tied = materialise(_labelled(distinct, components(_nibble_links(_dealt(distinct)))), "tied-fps")
     merged = components(chain_links(tied)).select(F.col("node").alias("component"), F.col("component").alias("root"))
     return tied.join(merged, "component", "left").select("fp", F.coalesce("root", "component").alias("component"))
 
