@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -26,8 +27,11 @@ from pyspark.sql import functions as F
 #: Published pre-splitting pattern of this family of tokenizers (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: The same for ASCII texts, where the standard library's matcher reads it in fewer steps.
+SPLIT_ASCII = r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+
 SEGMENT_CHARS = 1_000_000
-CACHED_WORDS = 100_000
+CACHED_WORDS = 200_000
 #: Bytes up to which a scan beats a heap, and a rank above all others.
 SHORT, NO_RANK = 48, 1 << 40
 
@@ -73,19 +77,27 @@ class ForcedBoundaryBpe:
         self.inside = {pair for token in self.bytes_of.values() for pair in zip(token, token[1:])}
         self.byte_id = [vocab.get(s) for s in byte_symbols()]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        pairs = list(pairs)
+        self.merged = [vocab[a + b] for a, b in pairs]
+        self.rank = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
+        plain = all(i is not None and i < 256 for i in self.byte_id)
+        self.byte_table = bytes(self.byte_id) if plain else None
         self.bytes_of |= {i: t.encode() for t, i in specials.items()}
         self.specials = specials
         found = "|".join(regex.escape(t) for t in sorted(specials, key=len, reverse=True))
         self._special = regex.compile(f"({found})") if found else None
         self._find = regex.compile(SPLIT).findall
+        self._find_ascii = re.compile(SPLIT_ASCII, re.ASCII).findall
         self._cut = regex.compile(r"(?<=\S)[ \n]")
         self._words = _Words(self.encode_word)
 
     def fragments(self, word: bytes) -> list[bytes]:
         """``word`` cut at every byte pair that no token holds."""
         inside, start, parts = self.inside, 0, []
-        for i, pair in enumerate(zip(word, word[1:]), 1):
+        pairs = list(zip(word, word[1:]))
+        if inside.issuperset(pairs):
+            return [word]
+        for i, pair in enumerate(pairs, 1):
             if pair not in inside:
                 parts.append(word[start:i])
                 start = i
@@ -98,37 +110,37 @@ class ForcedBoundaryBpe:
 
     def _merge_short(self, fragment: bytes) -> list[int]:
         """Scans a list of ranks for the least: quickest for words of usual length."""
-        merges, none = self.merges, (NO_RANK, 0)
-        ids = [self.byte_id[b] for b in fragment]
-        ranks = [merges.get(p, none)[0] for p in zip(ids, ids[1:])]
+        rank, merged = self.rank.get, self.merged
+        ids = [self.byte_id[b] for b in fragment] if self.byte_table is None else list(fragment.translate(self.byte_table))
+        ranks = [rank(p, NO_RANK) for p in zip(ids, ids[1:])]
         while ranks and (least := min(ranks)) < NO_RANK:
             i = ranks.index(least)
-            ids[i] = merges[ids[i], ids.pop(i + 1)][1]
+            ids[i : i + 2] = (merged[least],)
             del ranks[i]
             if i:
-                ranks[i - 1] = merges.get((ids[i - 1], ids[i]), none)[0]
+                ranks[i - 1] = rank((ids[i - 1], ids[i]), NO_RANK)
             if i < len(ranks):
-                ranks[i] = merges.get((ids[i], ids[i + 1]), none)[0]
+                ranks[i] = rank((ids[i], ids[i + 1]), NO_RANK)
         return ids
 
     def _merge_long(self, fragment: bytes) -> list[int]:
         """A linked list with a heap: n log n for any length."""
         ids: list[int | None] = [self.byte_id[b] for b in fragment]
-        n, merges = len(ids), self.merges
+        n, ranks, merged = len(ids), self.rank, self.merged
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*merges[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
+        heap = [(ranks[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
         heapq.heapify(heap)
         while heap:
-            _, merged, i, pair = heapq.heappop(heap)
+            rank, i, pair = heapq.heappop(heap)
             j = after[i]
             if j >= n or (ids[i], ids[j]) != pair:
                 continue  # one of the two was merged elsewhere meanwhile
-            ids[i], ids[j], after[i] = merged, None, after[j]
+            ids[i], ids[j], after[i] = merged[rank], None, after[j]
             if after[j] < n:
                 before[after[j]] = i
             for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < n and (p := (ids[left], ids[right])) in merges:
-                    heapq.heappush(heap, (*merges[p], left, p))
+                if left >= 0 and right < n and (p := (ids[left], ids[right])) in ranks:
+                    heapq.heappush(heap, (ranks[p], left, p))
         return [i for i in ids if i is not None]
 
     def encode_word(self, word: bytes) -> tuple[int, ...]:
@@ -148,7 +160,8 @@ class ForcedBoundaryBpe:
                 ids.append(self.specials[part])
             else:
                 for segment in self._segments(part):
-                    ids.extend(chain.from_iterable(map(self._words.__getitem__, self._find(segment))))
+                    words = (self._find_ascii if segment.isascii() else self._find)(segment)
+                    ids.extend(chain.from_iterable(map(self._words.__getitem__, words)))
         return ids
 
     def decode(self, ids: list[int] | None) -> str:
@@ -180,6 +193,20 @@ def text_of(ids: Column, path: str) -> Column:
     return decode(ids)
 
 
+def round_trip(text: Column, path: str) -> Column:
+    """A struct of the token ids of a text column and the text they decode to, in one pass."""
+
+    def both(texts: pd.Series) -> pd.DataFrame:
+        bpe, ids, decoded = loaded(path), [], []
+        for t in texts:
+            found = bpe.encode(t)
+            ids.append(np.array(found, dtype=np.int32))
+            decoded.append(bpe.decode(found))
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
+
+    return F.pandas_udf(both, "ids array<int>, decoded string")(text)
+
+
 def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the token ids of ``text`` in a column ``ids`` (replaced if it exists)."""
     return docs.withColumn(ids, ids_of(F.col(text), path))
@@ -188,3 +215,9 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str =
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its token ids in a column ``text`` (replaced if it exists)."""
     return encoded.withColumn(text, text_of(F.col(ids), path))
+
+
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with columns ``ids`` and ``decoded`` (replaced if they exist) from one pass over ``text``."""
+    both = docs.withColumn("__both", round_trip(F.col(text), path))
+    return both.withColumns({"ids": F.col("__both.ids"), "decoded": F.col("__both.decoded")}).drop("__both")

@@ -15,7 +15,7 @@ from batchloom.llm.common import id_remainder, table
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.decode_documents(bpe.encode_documents(docs, path).drop("text"), path)
+    both = bpe.encode_and_decode(docs, path)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -64,6 +64,9 @@ def test_bpe_equals_the_tokenizers_library(docs, empty):
         assert row.ids == expected
         assert row.decoded == library.decode(expected, skip_special_tokens=False)
         assert row.key in ("k", None)
+    one_pass = bpe.encode_and_decode(docs, PATH)
+    assert one_pass.columns == both.columns
+    assert sorted(map(str, one_pass.collect())) == sorted(map(str, both.collect()))
     assert bpe.encode_documents(empty, PATH).count() == 0
 
 
