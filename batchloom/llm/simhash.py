@@ -63,8 +63,11 @@ def _fingerprints(text: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (id, fp) on shared storage."""
-    return materialise(docs.select(F.col(id_col).alias("id"), _fingerprints(F.col(text)).alias("fp")), "fingerprints")
+    """Rows (id, text_key, fp) on shared storage; the key is a hash of the whole text."""
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), _fingerprints(F.col(text)).alias("fp")
+    )
+    return materialise(rows, "fingerprints")
 
 
 def _masks(segments: int) -> Column:
@@ -174,28 +177,35 @@ def fingerprint_components(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: id_col, fp, component_id (the least id that its links reach)."""
+    """One row per document: id_col, text_key, fp, component_id (the least id that its links reach)."""
     fps = fingerprints(docs, id_col, text)
     joined = fingerprint_components(fps)
     least = fps.groupBy("fp").agg(F.min("id").alias("id")).join(joined, "fp")
     roots = least.groupBy("component").agg(F.min("id").alias("component_id"))
     by_fp = materialise(least.select("fp", "component").join(roots, "component").select("fp", "component_id"), "roots")
-    return fps.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return fps.join(by_fp, "fp").select(F.col("id").alias(id_col), "text_key", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the least id of each component, all columns kept.
 
-    Rows that repeat an id and text entirely count as one document: one of them stays. Rows with a null id
-    stay only if their component has no other.
+    Of rows that share that id, the text with the least hash stays, once. A component whose ids are all null
+    keeps the text with the least hash. The choice is made on ids and hashes; texts are read when it is known.
     """
     found = near_duplicates(docs, id_col, text)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("fp", "component_id").agg(F.lit(1))
-    stay = stay.groupBy("component_id").agg(F.min("fp").alias("__stay_fp"))
-    stay = stay.withColumnRenamed("component_id", "__stay_id")
-    kept = docs.join(
-        stay,
-        docs[id_col].eqNullSafe(stay["__stay_id"]) & (_fingerprints(docs[text]) == stay["__stay_fp"]),
-        "left_semi",
+    first = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    # Components without an id are told apart by their least fingerprint's text; all others by their id.
+    per_row = first.groupBy("component_id", "text_key").agg(F.count("*").alias("copies"), F.min("fp").alias("fp"))
+    named = per_row.where("component_id IS NOT NULL").groupBy("component_id").agg(F.min_by("copies", "text_key").alias("copies"), F.min("text_key").alias("text_key"))
+    joined = fingerprint_components(first.where("component_id IS NULL").select("fp"))
+    nameless = per_row.where("component_id IS NULL").join(joined, "fp").groupBy("component").agg(
+        F.lit(None).cast("long").alias("component_id"), F.min_by("copies", "text_key").alias("copies"), F.min("text_key").alias("text_key")
     )
-    return kept.dropDuplicates([id_col])
+    stay = named.select("component_id", "text_key", "copies").unionByName(nameless.drop("component"))
+    stay = materialise(stay.withColumnsRenamed({"component_id": "__id", "text_key": "__key", "copies": "__copies"}), "stay")
+    match = docs[id_col].eqNullSafe(stay["__id"]) & (F.xxhash64(docs[text]) == stay["__key"])
+    repeated = stay.where("__copies > 1")
+    if repeated.isEmpty():
+        return docs.join(stay, match, "left_semi")
+    single = docs.join(stay.where("__copies = 1"), match, "left_semi")
+    return single.unionByName(docs.join(repeated, match, "left_semi").dropDuplicates([id_col, text]))

@@ -455,6 +455,15 @@ def test_simhash_equals_brute_force(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_components_without_ids_and_repeated_ids(spark):
+    text = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(4)]
+    rows = [(None, text[0]), (None, text[0]), (None, text[1]), (5, text[2]), (5, text[2]), (5, text[3]), (7, text[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(tuple(r) for r in simhash.one_of_each(docs).collect())
+    assert kept[None, text[0]] == kept[None, text[1]] == 1
+    assert sum(n for (i, _), n in kept.items() if i == 5) == 1 and len(kept) == 3
+
+
 def test_dense_groups_of_fingerprints(spark):
     rng = random.Random(8)
     center, values = rng.getrandbits(64), set()
