@@ -18,11 +18,10 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
-import numpy as np
-import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from batchloom.llm.common import with_made
 
 #: Published pre-splitting pattern of this family of tokenizers (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -173,51 +172,25 @@ def loaded(path: str) -> ForcedBoundaryBpe:
     return ForcedBoundaryBpe(path)
 
 
-def ids_of(text: Column, path: str) -> Column:
-    """Token ids of a text column; the vocabulary file must be at ``path`` on every executor."""
-
-    @F.pandas_udf("array<int>")
-    def encode(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.array(loaded(path).encode(t), dtype=np.int32) for t in texts], dtype=object)
-
-    return encode(text)
-
-
-def text_of(ids: Column, path: str) -> Column:
-    """Text of a column of token ids."""
-
-    @F.pandas_udf("string")
-    def decode(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda x: loaded(path).decode(None if x is None else np.asarray(x, dtype=np.int64).tolist()))
-
-    return decode(ids)
-
-
-def round_trip(text: Column, path: str) -> Column:
-    """A struct of the token ids of a text column and the text they decode to, in one pass."""
-
-    def both(texts: pd.Series) -> pd.DataFrame:
-        bpe, ids, decoded = loaded(path), [], []
-        for t in texts:
-            found = bpe.encode(t)
-            ids.append(np.array(found, dtype=np.int32))
-            decoded.append(bpe.decode(found))
-        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
-
-    return F.pandas_udf(both, "ids array<int>, decoded string")(text)
-
-
 def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of ``text`` in a column ``ids`` (replaced if it exists)."""
-    return docs.withColumn(ids, ids_of(F.col(text), path))
+    """``docs`` with the token ids of ``text`` in a column ``ids`` (replaced if it exists).
+
+    The vocabulary file must be at ``path`` on every executor.
+    """
+    return with_made(docs, [text], lambda texts: [list(map(loaded(path).encode, texts))], f"`{ids}` array<int>")
 
 
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its token ids in a column ``text`` (replaced if it exists)."""
-    return encoded.withColumn(text, text_of(F.col(ids), path))
+    return with_made(encoded, [ids], lambda lists: [list(map(loaded(path).decode, lists))], f"`{text}` string")
 
 
 def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with columns ``ids`` and ``decoded`` (replaced if they exist) from one pass over ``text``."""
-    both = docs.withColumn("__both", round_trip(F.col(text), path))
-    return both.withColumns({"ids": F.col("__both.ids"), "decoded": F.col("__both.decoded")}).drop("__both")
+
+    def both(texts: list[str | None]) -> list[list]:
+        bpe = loaded(path)
+        ids = list(map(bpe.encode, texts))
+        return [ids, list(map(bpe.decode, ids))]
+
+    return with_made(docs, [text], both, "ids array<int>, decoded string")

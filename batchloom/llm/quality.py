@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchloom.llm.common import SPACE
+from batchloom.llm.common import SPACE, with_made
 from batchloom.storage import materialise
 
 SYMBOLS = "#*$%&|<>"
@@ -120,16 +120,13 @@ def boilerplate_lines(docs: DataFrame, host: str = "source", text: str = "text",
     return materialise(above.groupBy("host").agg(F.collect_set("line").alias("lines")), "boilerplate")
 
 
-def _features(texts: pd.Series, lines: pd.Series) -> pd.DataFrame:
-    names = [f.split()[0] for f in FEATURES.split(", ")]
-    sets: dict[bytes, frozenset[int]] = {}
+def _features(texts: list[str | None], lines: list[list[int] | None]) -> list[list]:
+    sets: dict[tuple[int, ...], frozenset[int]] = {}
     rows = []
     for text, listed in zip(texts, lines):
-        key = b"" if listed is None else listed.tobytes()
-        if key not in sets:
-            sets[key] = frozenset(() if listed is None else listed.tolist())
-        rows.append(features(text, sets[key]))
-    return pd.DataFrame(rows, columns=names)
+        key = tuple(listed or ())
+        rows.append(features(text, sets.setdefault(key, frozenset(key))))
+    return list(map(list, zip(*rows)))
 
 
 def quality(docs: DataFrame, host: str = "source", text: str = "text", limits: Limits = Limits()) -> DataFrame:
@@ -137,14 +134,16 @@ def quality(docs: DataFrame, host: str = "source", text: str = "text", limits: L
     by_host = boilerplate_lines(docs, host, text, limits).select(
         F.col("host").alias("__quality_host"), F.col("lines").alias("__quality_lines")
     )
-    found = docs.join(by_host, docs[host].cast("string").eqNullSafe(by_host["__quality_host"]), "left").withColumn(
-        "quality", F.pandas_udf(_features, FEATURES)(F.col(text), F.col("__quality_lines"))
-    )
-    q = F.col("quality")
+    found = docs.join(by_host, docs[host].cast("string").eqNullSafe(by_host["__quality_host"]), "left")
+    names = [f.split()[0] for f in FEATURES.split(", ")]
+    made = ", ".join(f"__quality_{f}" for f in FEATURES.split(", "))
+    found = with_made(found, [text, "__quality_lines"], _features, made)
+    q = F.struct(*(F.col(f"__quality_{n}").alias(n) for n in names))
     failed = (q["n_words"] < limits.min_words) | (q["n_repeat_words"] > limits.max_repeat_share * q["n_words"])
     depleted = q["n_removed_words"] > limits.max_removed * q["n_words"]
     judged = q.withField("base_failed", failed).withField("kept", ~failed & ~depleted)
-    return found.withColumn("quality", judged).drop("__quality_host", "__quality_lines")
+    found = found.withColumn("quality", judged)
+    return found.drop("__quality_host", "__quality_lines", *(f"__quality_{n}" for n in names))
 
 
 def kept_documents(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
