@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from batchloom.storage import materialise
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 MAX_FEATURES = 512
 MIN_CHI2 = 40.0
 MIN_DOCUMENTS = 5
@@ -105,7 +105,10 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, ridge: float = 0.1, rounds: in
             if of_weights:
                 pull = (slope[rows, grade] - slope[rows, grade + 1]) / p[rows, grade]
                 weight = ((slope[:, :-1] - slope[:, 1:]) ** 2 / p).sum(axis=1).astype(x.dtype)
-                info = (x.T * weight) @ x + ridge * np.eye(x.shape[1])
+                info = ridge * np.eye(x.shape[1])
+                for at in range(0, n, 1_000):  # in blocks, for the driver's memory
+                    part = x[at : at + 1_000]
+                    info += (part.T * weight[at : at + 1_000]) @ part
                 step = np.linalg.solve(info, x.T @ pull - ridge * w)
             else:
                 pull = np.zeros(levels + 2)
