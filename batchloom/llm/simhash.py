@@ -176,28 +176,37 @@ def fingerprint_components(fps: DataFrame) -> DataFrame:
     return tied.join(merged, "component", "left").select("fp", F.coalesce("root", "component").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: id_col, text_key, fp, component_id (the least id that its links reach)."""
-    fps = fingerprints(docs, id_col, text)
-    joined = fingerprint_components(fps)
+def by_component(fps: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows (id_col, text_key, fp, component_id) of ``fps`` (id, text_key, fp), given (fp, component)."""
     least = fps.groupBy("fp").agg(F.min("id").alias("id")).join(joined, "fp")
     roots = least.groupBy("component").agg(F.min("id").alias("component_id"))
     by_fp = materialise(least.select("fp", "component").join(roots, "component").select("fp", "component_id"), "roots")
     return fps.join(by_fp, "fp").select(F.col("id").alias(id_col), "text_key", "fp", "component_id")
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: id_col, text_key, fp, component_id (the least id that its links reach)."""
+    fps = fingerprints(docs, id_col, text)
+    return by_component(fps, fingerprint_components(fps), id_col)
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the least id of each component, all columns kept.
 
     Of rows that share that id, the text with the least hash stays, once. A component whose ids are all null
     keeps the text with the least hash. The choice is made on ids and hashes; texts are read when it is known.
     """
-    found = near_duplicates(docs, id_col, text)
+    fps = fingerprints(docs, id_col, text)
+    joined = materialise(fingerprint_components(fps), "fp-components")
+    return survivors(docs, by_component(fps, joined, id_col), joined, id_col, text)
+
+
+def survivors(docs: DataFrame, found: DataFrame, joined: DataFrame, id_col: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``one_of_each`` keeps, given the rows of ``by_component`` and (fp, component)."""
     first = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
     # Components without an id are told apart by their least fingerprint's text; all others by their id.
     per_row = first.groupBy("component_id", "text_key").agg(F.count("*").alias("copies"), F.min("fp").alias("fp"))
     named = per_row.where("component_id IS NOT NULL").groupBy("component_id").agg(F.min_by("copies", "text_key").alias("copies"), F.min("text_key").alias("text_key"))
-    joined = fingerprint_components(first.where("component_id IS NULL").select("fp"))
     nameless = per_row.where("component_id IS NULL").join(joined, "fp").groupBy("component").agg(
         F.lit(None).cast("long").alias("component_id"), F.min_by("copies", "text_key").alias("copies"), F.min("text_key").alias("text_key")
     )

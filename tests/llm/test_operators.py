@@ -14,7 +14,8 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from batchloom.llm import bpe, decontam, fixity, html, langid, lm, quality, ranking, sharding, simhash, toxicity
+import corpus_pipeline
+from batchloom.llm import bpe, decontam, fixity, html, langid, lm, minhash, quality, ranking, sharding, simhash, toxicity
 from batchloom.llm.components import components
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -489,6 +490,60 @@ def test_components_of_a_long_path(spark):
     assert got == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
 
 
+# -- MinHash
+
+
+def brute_sets(texts):
+    sets = []
+    for text in texts:
+        words = words_of(text)
+        sets.append({b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    roots = list(range(len(sets)))
+
+    def find(i):
+        while roots[i] != i:
+            i = roots[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or len(a & sets[j]) / len(a | sets[j]) >= 0.8:
+                roots[find(i)] = find(j)
+    return [find(i) for i in range(len(sets))]
+
+
+def near_copies_at_all_distances():
+    """Texts of 60 to 700 words with copies on both sides of similarity 0.8, chains, and one exactly on it."""
+    rng, rows = random.Random(12), []
+    for group in range(25):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([60, 150, 700]))]
+        for _ in range(8):
+            words = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 35))):
+                words[rng.randrange(len(words))] = f"n{rng.randrange(10**6)}"
+            rows.append(" ".join(words))
+            base = words if group % 5 == 0 else base
+    words = [f"e{i}" for i in range(84)]
+    return rows + [" ".join(words), " ".join(words[:68])]
+
+
+def test_stage_finds_all_copies_at_similarity_of_four_fifths(spark, docs, empty):
+    rows = [(r[0], r[1]) for r in corpus()] + [(1000 + i, t) for i, t in enumerate(near_copies_at_all_distances())]
+    roots = brute_sets([t for _, t in rows])
+    least = defaultdict(list)
+    for (i, _), root in zip(rows, roots):
+        least[root].append(math.inf if i is None else i)
+    more = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, math.inf if r.component_id is None else r.component_id) for r in minhash.near_copies(more).collect())
+    assert got == Counter((i, min(least[root])) for (i, _), root in zip(rows, roots))
+    kept = corpus_pipeline.near_duplicates(spark, more, None)
+    assert kept.columns == more.columns
+    ids = Counter(math.inf if r.doc_id is None else r.doc_id for r in kept.collect())
+    assert ids == Counter(min(ids) for ids in least.values())
+    assert least[roots[-1]] == [1200, 1201]
+    assert minhash.one_of_each(empty).count() == 0
+
+
 # -- language model
 
 
