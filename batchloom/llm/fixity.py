@@ -1,12 +1,15 @@
 """Merkle fixity audit of the replicas of a WARC archive.
 
-Records are hashed, and hashes are combined over ordered offset ranges: a leaf covers ``RANGE_BYTES`` of a file,
-a node ``FANOUT`` ranges of the level below, up to one root per file. Two replicas are compared from the roots
-down, and only branches that differ are descended, so an intact archive costs one comparison per file.
-
-Ranges are places in the file, not counts of records: a lost or added record changes its own branch only. A range
-holds few records however large the archive is. Files may have any size; a file that one replica lacks
-differs at its root. Records at the same place are combined in the order of their hashes. A null payload is an
+Records are hashed, and hashes are combined over ordered offset ranges: a leaf covers ``RANGE_BYTES`` of a file
+and takes in each record's offset and hash, a node covers ``FANOUT`` ranges of the level below, up to one root per
+file. Two replicas are compared from the roots down, and only branches that differ are descended, so an intact
+archive costs one comparison per file.
+
+Ranges are places in the file, not counts of records. Places come from the archive's index (``place_records``), and a
+replica's records are hashed where the index has them (``at_index``): a lost, added or altered record changes its
+own branch only, also when its length changes. A replica whose places were made anew from what it still holds would
+differ from the first damage to the end. A range holds few records however large the archive is. Files may have any
+size; a file that one replica lacks differs at its root. Records at the same place are combined in the order of their hashes. A null payload is an
 empty record. Rows without a file or offset can't be placed and are refused by ``place_records``, which makes
 both. An empty replica has no roots. DataFrame functions only.
 """
@@ -37,17 +40,22 @@ def warc_record(uri: Column, payload: Column) -> Column:
     return F.concat(head, body, F.lit("\r\n\r\n"))
 
 
+def hashed(records: DataFrame, key: str, *more: str) -> DataFrame:
+    """(key, length, digest) of the bytes of ``records`` (key, record), and the columns ``more``."""
+    return records.select(
+        F.col(key).alias("key"),
+        F.octet_length("record").cast("long").alias("length"),
+        F.sha2(F.col("record").cast("binary"), 256).alias("digest"),
+        *more,
+    )
+
+
 def place_records(records: DataFrame, key: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """``records`` (key, record) laid out one after another: (key, file, offset, length, digest).
 
     A record belongs to the file in which it starts; files start every ``file_bytes`` bytes of the archive.
     """
-    hashed = records.select(
-        F.col(key).alias("key"),
-        F.octet_length("record").cast("long").alias("length"),
-        F.sha2(F.col("record").cast("binary"), 256).alias("digest"),
-    )
-    placed = running(hashed, ["key", "digest"], F.col("length"), "start")
+    placed = running(hashed(records, key), ["key", "digest"], F.col("length"), "start")
     return placed.select(
         "key",
         F.expr(f"start div {file_bytes}").alias("file"),
@@ -57,6 +65,22 @@ def place_records(records: DataFrame, key: str, file_bytes: int = FILE_BYTES) ->
     )
 
 
+def at_index(records: DataFrame, key: str, index: DataFrame) -> DataFrame:
+    """A replica's ``records`` (key, was, record) at the places of ``index``: (key, file, offset, length, digest).
+
+    ``was`` is the digest that the index has for the record; together with the key, which may be null, it says which
+    entry a record belongs to. Length and digest are those of the replica's own bytes. Entries of the index without
+    a record are lost. Rows with equal key and ``was`` fill all entries of the index that have them.
+    """
+    found = hashed(records, key, "was").dropDuplicates(["key", "was"]).select(
+        F.col("key").alias("of"), "was", F.col("length").alias("new_length"), F.col("digest").alias("new_digest")
+    )
+    match = F.col("key").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("was"))
+    return index.join(found, match).select(
+        "key", "file", "offset", F.col("new_length").alias("length"), F.col("new_digest").alias("digest")
+    )
+
+
 def _combined(order: list[str]) -> Column:
     listed = F.array_sort(F.collect_list(F.struct(*order, "digest")))
     return F.sha2(F.array_join(F.transform(listed, lambda x: x["digest"]), ""), 256).alias("digest")
@@ -64,7 +88,8 @@ def _combined(order: list[str]) -> Column:
 
 def merkle_levels(replica: DataFrame, levels: int, range_bytes: int = RANGE_BYTES) -> list[DataFrame]:
     """Nodes (file, range, digest) of every level, leaves first; each level is written once."""
-    leaves = replica.select("file", F.expr(f"offset div {range_bytes}").alias("range"), "offset", "digest")
+    placed = F.concat_ws(":", F.col("offset").cast("string"), "digest").alias("digest")
+    leaves = replica.select("file", F.expr(f"offset div {range_bytes}").alias("range"), "offset", placed)
     nodes = [materialise(leaves.groupBy("file", "range").agg(_combined(["offset"])), "merkle")]
     for _ in range(levels):
         up = nodes[-1].select("file", F.expr(f"range div {FANOUT}").alias("up"), "range", "digest")

@@ -85,11 +85,18 @@ def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of two replicas of an archive of ``pages``; in the second, some records are altered or lost."""
     pages = table(spark, sf_dir, "pages").select("page_id", fixity.warc_record(F.col("url"), F.col("html")).alias("record"))
     first = fixity.materialise(fixity.place_records(pages, "page_id"), "archive")
-    fate = F.col("key") % DAMAGE
-    second = first.where(fate != 7).withColumn(
-        "digest", F.when(fate == 3, F.sha2(F.concat("digest", F.lit("!")), 256)).otherwise(F.col("digest"))
-    )
-    return fixity.audit(first, second).withColumnRenamed("key", "page_id")
+    return fixity.audit(first, fixity.at_index(damaged(pages), "page_id", first)).withColumnRenamed("key", "page_id")
+
+
+def damaged(records: DataFrame) -> DataFrame:
+    """The second replica's records (page_id, was, record): lost ones are absent, the bytes of others overwritten.
+
+    An overwritten record holds the digest of what it was and an exclamation mark, 65 bytes in place of all it had.
+    """
+    fate = F.coalesce(F.col("page_id") % DAMAGE, F.lit(0))
+    was = F.sha2(F.col("record").cast("binary"), 256)
+    record = F.when(fate == 3, F.concat(was, F.lit("!"))).otherwise(F.col("record"))
+    return records.where(fate != 7).select("page_id", was.alias("was"), record.alias("record"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

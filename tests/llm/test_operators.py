@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from batchloom.llm import bpe, decontam, fixity, html, langid, lm, minhash, quality, ranking, sharding, simhash, toxicity
+from batchloom.llm import bpe, decontam, fixity, html, langid, lm, minhash, quality, queries, ranking, sharding, simhash, toxicity
 from batchloom.llm.components import components
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -411,6 +411,34 @@ def test_audit_locates_damage(spark):
     assert roots.count() == a.select("file").distinct().count()
 
 
+def test_second_replica_is_hashed_from_its_own_records(spark):
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    bodies = [(i, "é<p>" * (i % 50)) for i in range(1200)] + [(None, "no id"), (None, "no id"), (5, "again"), (3, None)]
+    text = fixity.warc_record(F.lit("http://e"), F.col("body")).alias("record")
+    records = spark.createDataFrame(bodies, "page_id long, body string").select("page_id", text).repartition(3)
+    a = fixity.place_records(records, "page_id", file_bytes=20_000).cache()
+    second = queries.damaged(records).cache()
+    b = fixity.at_index(second, "page_id", a)
+    # Every digest and length of B is that of a record which B holds; places are the archive's.
+    own = {(r.page_id, len(r.record.encode()), sha(r.record)) for r in second.collect()}
+    assert {(r.key, r.length, r.digest) for r in b.collect()} == own
+    lost = lambda i: i is not None and i % queries.DAMAGE == 7
+    place = lambda t: Counter((r.key, r.file, r.offset) for r in t.collect())
+    assert place(b) == place(a.where("key IS NULL OR key % 499 <> 7"))
+    assert sum(r.key is None for r in b.collect()) == 2
+    # Altered records have another length; only they and the lost ones are reported, and nothing behind them.
+    found = fixity.audit(a, b, range_bytes=1_000, file_bytes=20_000).collect()
+    changed = {(r.key, r.digest_a) for r in found if r.kind == "changed"}
+    assert changed == {(r.key, r.digest) for r in a.collect() if r.key is not None and r.key % queries.DAMAGE == 3}
+    assert {r.key for r in found if r.kind == "missing"} == {i for i, _ in bodies if lost(i)}
+    assert len(found) == 4 + 3 and all((r.key, 65, r.digest_b) in own for r in found if r.kind == "changed")
+    # An added record and a moved one are damage of their own.
+    more = b.union(spark.createDataFrame([(9000, 2, 77, 5, sha("added"))], b.schema))
+    moved = more.withColumn("offset", F.when(F.col("key") == 20, F.col("offset") + 1).otherwise(F.col("offset")))
+    kinds = Counter((r.key, r.kind) for r in fixity.audit(a, moved, range_bytes=1_000, file_bytes=20_000).collect())
+    assert kinds - Counter((r.key, r.kind) for r in found) == Counter({(9000, "added"): 1, (20, "missing"): 1, (20, "added"): 1})
+
+
 # -- SimHash
 
 
