@@ -9,9 +9,11 @@ them with parts that pages often have but the sample may not: page headers, side
 reader comments, and articles without an article tag. Teacher labels come from the meaning of
 element and class names (``NOT_MAIN``); the labeller must find them from context, also where names are new to it.
 
-White space inside a block becomes one space; scripts, styles, comments and markup have no text. A null or empty
-page, or one without main blocks, has the empty text. Pages of any length are read whole, with memory in proportion
-to a page. Equal pages get equal texts. Without any page to train on the result is empty.
+White space inside a block becomes one space; scripts, styles, templates, frames, form texts, comments and markup have
+no text, up to their closing tag or, if there is none, to the end of the page, as in a browser. Text inside svg, math,
+object, canvas and noscript is judged like other text. A null or empty page, or one without main blocks, has the
+empty text. Pages of any length are read whole, with memory in proportion to a page. Equal pages get equal texts.
+Without any page to train on the result is empty.
 """
 
 from __future__ import annotations
@@ -41,7 +43,9 @@ BLOCK = frozenset(
     "table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|iframe|object|svg|math|canvas|textarea"
+RAW = "script|style|template|iframe|textarea"
+#: Elements inside which, and for which, a closing slash ends the element.
+FOREIGN = frozenset(("svg", "math"))
 
 #: Names that say that an element is not main text (fixed values).
 NOT_MAIN = frozenset(
@@ -53,7 +57,7 @@ NOT_MAIN = frozenset(
 MAIN = frozenset("article main content post entry story".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-zA-Z][^>]*>",
     re.S | re.I,
 )
@@ -104,10 +108,18 @@ def blocks(page: str | None) -> list[tuple[tuple[tuple[str, ...], ...], str, flo
             else:
                 pieces.append(" ")
             continue
+        open_names = [e[0] for e in stack]
+        foreign = not FOREIGN.isdisjoint(open_names)
+        inner = tag in FOREIGN or foreign and (tag not in BLOCK or tag == "title")
+        if inner and not m[2] and (m[4] or "").endswith("/"):
+            pieces.append(" ")
+            continue
         if tag in BLOCK:
             close()
         if not m[2]:
-            if tag in BLOCK and tag != "body":
+            if foreign and not inner and "foreignobject" not in open_names:  # a block ends an open svg
+                del stack[min(open_names.index(f) for f in FOREIGN if f in open_names) :]
+            if tag in BLOCK and tag != "body" and not inner:
                 names = [e[0] for e in stack]
                 if "p" in names:  # a block ends an open paragraph
                     del stack[names.index("p") :]

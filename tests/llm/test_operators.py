@@ -263,6 +263,25 @@ def test_main_text_of_pages(spark):
     assert html.main_text(pages.limit(0)).count() == 0
 
 
+def test_pages_are_read_behind_unclosed_and_self_closing_elements():
+    texts = lambda page: [text for _, text, _ in html.blocks(page)]
+    for tag in ("svg", "math"):
+        assert texts(f'<p>A<{tag} class="i"/>B</p><p>C</p>') == ["A B", "C"]
+        assert html.blocks(f'<p>A<{tag} class="i"/>B</p><p>C</p>')[1][0] == (("p",),)
+    for tag in ("svg", "math", "object", "canvas", "noscript"):
+        assert texts(f"<div><p>A<{tag} class=i>B</p><p>C</p></div><p>D</p>") == ["AB", "C", "D"]
+        assert texts(f"<p>A <{tag}>inside</{tag}> B</p><p>C</p>") == ["A inside B", "C"]
+    icon = '<svg viewBox="0 0 1 1"><g><path d="M0 0"/><circle r="1" /></g></svg>'
+    assert texts(f"<p>A {icon}B</p><p>C</p>") == ["A B", "C"]
+    assert [p for p, _, _ in html.blocks(f"<p>A <svg><title>T</title><path/></svg>B</p>")] == [(("p",),), (("p",), ("title",)), (("p",),)]
+    assert texts("<p>A</p><object><p>instead</p></object><math><mi>x</mi><mo>=</mo><mn>1</mn></math><p>C</p>") == ["A", "instead", "x=1", "C"]
+    after = html.blocks('<div>A<svg class="ad"><path/>B<p>C</p><div/>D</div><p>E</p>')
+    assert [t for _, t, _ in after] == ["A B", "C", "D", "E"] and (".ad" not in str(after[1][0] + after[3][0]))
+    for tag in html.RAW.split("|"):
+        assert texts(f"<p>A<{tag} x='1'>gone</{tag}>B</p>") == ["AB"] and texts(f"<p>A</p><{tag}>gone<p>gone</p>") == ["A"]
+        assert texts(f"<{tag}-box>A</{tag}-box><p>C</p>") == ["A", "C"]
+
+
 def test_labeller_knows_parts_that_the_sample_lacks():
     pages = [PAGE.replace("{i}", str(i)) for i in range(120)]
     labeller = html.train(pages)
