@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchloom.llm import bpe, decontam, fixity, html, langid, lm, quality, sharding, simhash, toxicity
+from batchloom.llm import bpe, decontam, fixity, html, idfiles, laesa, langid, lm, pqcodes, quality, sharding, simhash, toxicity
 from batchloom.llm.common import id_remainder, table
+from batchloom.storage import work_path
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +113,26 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = pqcodes.quantise(table(spark, sf_dir, "embeddings"))
+    hexed = F.array_join(F.transform("code", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return pqcodes.with_label_error(coded).select(
+        "vec_id", hexed.alias("code"), "error", "label_error", F.lit(pqcodes.books_digest(books)).alias("codebooks_sha256")
+    )
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "token-files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    idfiles.write_token_files(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return idfiles.read_token_files(spark, folder, with_ids=False)
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = laesa.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return laesa.with_inertia(assigned, centroids)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -125,12 +146,83 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_fixity,
         op9_simhash,
         op10_lm,
+        op11_codes,
+        op12_token_files,
+        op13_clusters,
     )
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Kept vectors as whole doubles (exact at these sizes), each row with a number of its own.
+_VECTORS = """
+SELECT row_number() OVER () AS row, vec_id, label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+FROM embeddings
+WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF isfinite(x)]) = 64"""
+
+
+def _codes_sql(rounds: int = 2) -> str:
+    """Product codes: every round compares all parts with all entries of their codebook."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+    SELECT row, p, min((list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, b.v) + list_inner_product(b.v, b.v)) * 64 + e) AS best
+    FROM x JOIN b{r} AS b USING (p) GROUP BY row, p)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+    SELECT p, e, list(mean ORDER BY i) AS v FROM (
+        SELECT p, CAST(best AS BIGINT) % 64 AS e, i, floor(sum(v[i]) / count(*)) AS mean
+        FROM a{r} JOIN x USING (row, p), range(1, 5) AS t(i) GROUP BY ALL) GROUP BY p, e),
+b{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM b{r} AS b LEFT JOIN m{r} AS m USING (p, e))""")
+    return f"""
+WITH vectors AS MATERIALIZED ({_VECTORS}),
+x AS MATERIALIZED (SELECT row, p, v[4 * p + 1:4 * p + 4] AS v FROM vectors, range(16) AS t(p)),
+starts AS (SELECT row, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM vectors ORDER BY e LIMIT 64),
+b0 AS MATERIALIZED (SELECT p, e, v FROM x JOIN starts USING (row)),
+{", ".join(steps)},
+coded AS (
+    SELECT row, string_agg(format('{{:02x}}', CAST(best AS BIGINT) % 64), '' ORDER BY p) AS code,
+        CAST(sum(CAST(best AS BIGINT) // 64) AS BIGINT) AS error
+    FROM a{rounds} GROUP BY row),
+labels AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN vectors USING (row) GROUP BY label),
+books AS (
+    SELECT sha256(string_agg(CAST(CAST(v[i] AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+    FROM b{rounds}, range(1, 5) AS t(i))
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM coded JOIN vectors USING (row) JOIN labels ON labels.label IS NOT DISTINCT FROM vectors.label, books
+"""
+
+
+def _clusters_sql(rounds: int = 5) -> str:
+    """Clusters: every round compares all vectors with all centroids."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+    SELECT row, min((list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, b.v) + list_inner_product(b.v, b.v)) * 40 + e) AS best
+    FROM x, b{r} AS b GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+    SELECT e, list(mean ORDER BY i) AS v FROM (
+        SELECT CAST(best AS BIGINT) % 40 AS e, i, floor(sum(v[i]) / count(*)) AS mean
+        FROM a{r} JOIN x USING (row), range(1, 65) AS t(i) GROUP BY ALL) GROUP BY e),
+b{r + 1} AS MATERIALIZED (SELECT b.e, coalesce(m.v, b.v) AS v FROM b{r} AS b LEFT JOIN m{r} AS m USING (e))""")
+    return f"""
+WITH x AS MATERIALIZED ({_VECTORS}),
+b0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), v) - 1 AS e, v FROM x ORDER BY e LIMIT 40),
+{", ".join(steps)},
+found AS (SELECT row, CAST(best AS BIGINT) % 40 AS cluster, CAST(best AS BIGINT) // 40 AS distance FROM a{rounds})
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+    CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+    CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string([CAST(CAST(c AS BIGINT) AS VARCHAR) FOR c IN b.v], ',')) AS centroid_sha256
+FROM found JOIN x USING (row) JOIN b{rounds} AS b ON b.e = cluster
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_codes": _codes_sql(),
+    "op13_clusters": _clusters_sql(),
     "op2_quality": r"""
 WITH d AS (SELECT doc_id, source, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 lines AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL),
