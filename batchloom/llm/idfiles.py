@@ -21,7 +21,10 @@ ids, texts being encoded in parts that end before white space.
 from __future__ import annotations
 
 import os
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -32,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from batchloom.llm.bpe import SPLIT, SPLIT_ASCII
+from batchloom.llm.bpe import SPLIT, SPLIT_ASCII, byte_symbols
 from batchloom.llm.common import task_partitions
 from batchloom.storage import inline_rows, materialise
 
@@ -40,6 +43,10 @@ from batchloom.storage import inline_rows, materialise
 ESCAPE = 0
 LANES = {1: (120, 0)} | {s: (60 // b, b) for s, b in enumerate((1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60), 2)}
 
+#: Lane widths in ascending order, 64 standing for none, and the least id that each of them can't hold.
+_ROOM = np.array(sorted({b for _, b in LANES.values()} | {64}), np.uint8)
+_FULL = np.uint64(1) << _ROOM[:-1].astype(np.uint64)
+
 MAGIC, TRAILER = int.from_bytes(b"S8B-IDS1", "little"), b"S8B-END\n"
 HEAD = ("magic", "file", "docs", "null_docs", "ids", "block_ids", "blocks", "words")
 BLOCK_IDS = 16_384
@@ -54,39 +61,41 @@ Index = dict[str, np.ndarray]
 # -- Simple-8b
 
 
+def _widths(ids: np.ndarray) -> np.ndarray:
+    """Bits of the narrowest lane that holds each id; 64 if none does."""
+    return _ROOM[np.searchsorted(_FULL, ids, side="right")]
+
+
 def pack_block(ids: np.ndarray) -> tuple[np.ndarray, int]:
     """Words of one block of ids (uint64), the escaped ones last, and how many are escaped."""
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), 0
-    at = np.arange(n)
-    step, chosen = np.ones(n, np.int64), np.zeros(n, np.uint64)  # what no lane can hold is escaped
-    widest = int(ids.max())
+    step, chosen = np.ones(n, np.uint8), np.zeros(n, np.uint8)  # what no lane can hold is escaped
+    widest, width, reach = _widths(ids), int(ids.max()).bit_length(), 1
     for selector, (count, bits) in sorted(LANES.items(), reverse=True):
-        if bits and widest >> bits:
-            wide = np.where(ids >> np.uint64(bits), at, n)
-        elif bits or not widest:
-            wide = np.full(n, n)
-        else:
-            wide = np.where(ids, at, n)
-        next_wide = np.minimum.accumulate(wide[::-1])[::-1]
-        fits = (next_wide - at >= count) | (next_wide == n)  # at the end of a block, lanes may stay empty
-        step[fits], chosen[fits] = count, selector
-        if not fits.any():
-            break  # nor do narrower lanes, which must hold more ids, fit anywhere
+        while reach < count:  # now the greatest width among each id and the reach - 1 after it
+            more = min(reach, count - reach)
+            inside = max(n - more, 0)  # beyond the block nothing is wide
+            np.maximum(widest[:inside], widest[more:], out=widest[:inside])
+            reach += more
+        fits = widest <= bits if bits < width else np.True_
+        step, chosen = np.where(fits, np.uint8(count), step), np.where(fits, np.uint8(selector), chosen)
     steps, starts, i = step.tolist(), [], 0
     while i < n:
         starts.append(i)
         i += steps[i]
     starts = np.array(starts)
-    selectors = chosen[starts]
+    selectors = chosen[starts].astype(np.uint64)
     words = selectors << np.uint64(60)
     padded = np.concatenate([ids, np.zeros(max(c for c, _ in LANES.values()), np.uint64)])
     for selector, (count, bits) in LANES.items():
         of = np.flatnonzero(selectors == selector)
         if bits and len(of):
-            lanes = padded[starts[of, None] + np.arange(count)]
-            words[of] |= np.bitwise_or.reduce(lanes << (np.arange(count, dtype=np.uint64) * np.uint64(bits)), axis=1)
+            first, lanes = starts[of], words[of]
+            for lane in range(count):
+                lanes |= padded[first + lane] << np.uint64(lane * bits)
+            words[of] = lanes
     escaped = ids[starts[selectors == ESCAPE]]
     return np.concatenate([words, escaped]), len(escaped)
 
@@ -177,7 +186,11 @@ class _Cache(dict):
 
 
 class LibraryIds:
-    """Ids of the tokenizers library for a byte-level vocabulary, each distinct word being encoded once."""
+    """Ids of the tokenizers library for a byte-level vocabulary.
+
+    The library's model merges each distinct word once; words are split off by the vocabulary's pattern. Only texts
+    that hold special tokens go through the library whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
@@ -189,13 +202,22 @@ class LibraryIds:
         specials = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self._find = regex.compile(SPLIT).findall
-        self._find_ascii = regex.compile(SPLIT_ASCII, regex.ASCII).findall
+        self._find_ascii = re.compile(SPLIT_ASCII, re.ASCII).findall
         self._cut = regex.compile(r"(?<=\S)[ \n]")
-        self._words = _Cache(self._whole)
+        self._merged = self._library.model.tokenize
+        self._symbols = dict(enumerate(byte_symbols()))
+        self._words = _Cache(self._word)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        symbols = word.encode().decode("latin-1").translate(self._symbols)
+        ids = array("I", [token.id for token in self._merged(symbols)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def _parts(self, text: str) -> Iterator[str]:
         start = 0
         while len(text) - start > PART_CHARS and (cut := self._cut.search(text, start + PART_CHARS)):
