@@ -17,8 +17,13 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str
     Spark limits each group to its first row before the shuffle as well as after it, so the copies
     of a frequent key do not meet in one task.
     """
+    return keep_n(df, keys, order, 1)
+
+
+def keep_n(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column], n: int) -> DataFrame:
+    """At most ``n`` rows per key, the first in ``order``."""
     first = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1).drop("_rn")
+    return df.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= n).drop("_rn")
 
 
 def _running_counts(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, slices: int | None) -> DataFrame:
@@ -51,60 +56,73 @@ def sequence_in_group(
 ) -> DataFrame:
     """Number the rows of each group from 1 in ``order``; a NULL group value is a group.
 
-    One way for groups of every size. Only group and order columns are sliced and numbered; the
-    other columns are joined back on them, so ``order`` must tell the rows of a group apart. ``slices``
-    sets how many slices are cut.
+    One way for groups of every size. The rows are stored once; only their group and order columns are sliced and
+    numbered, and the numbers come back to each row by its place in the store. Rows that are equal in group and
+    order get numbers of their own, in any order. ``slices`` sets how many slices are cut.
     """
-    narrow = list(dict.fromkeys([*group, *order]))
-    numbered = _running_counts(df.select(*narrow), group, order, out, slices)
-    if set(narrow) == set(df.columns):
-        return numbered.select(*df.columns, F.col(out).cast("int").alias(out))
-    renamed = numbered.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(narrow)], F.col(out).cast("int").alias(out))
-    same = [df[c].eqNullSafe(renamed[f"_k{i}"]) for i, c in enumerate(narrow)]
-    return df.join(renamed, reduce(lambda a, b: a & b, same)).select(*[df[c] for c in df.columns], out)
+    rows = _placed(materialise(df, "sequence-rows"))
+    narrow = rows.select(*dict.fromkeys([*group, *order]), *_PLACE)
+    numbered = _running_counts(narrow, group, [*order, *_PLACE], out, slices)
+    numbers = numbered.select(*_PLACE, F.col(out).cast("int").alias(out))
+    return rows.join(numbers, _PLACE).select(*[rows[c] for c in df.columns], out)
+
+
+#: A row's place in a stored table: no two rows share it, and reading again gives the same.
+_PLACE = ["_file", "_index"]
+
+
+def _placed(stored: DataFrame) -> DataFrame:
+    place = {"_file": "_metadata.file_name", "_index": "_metadata.row_index"}
+    return stored.select("*", *[F.col(c).alias(name) for name, c in place.items()])
 
 
 def take_first(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in ``order``, exactly; NULLs come first.
+    """The first ``n`` rows in ``order``, exactly; NULLs come first. Of rows that are equal in it any may be taken.
 
-    The cut is found on the order columns alone: they are numbered by slices, and the n-th value,
-    with how many of its equals are still taken, bounds the rows. No task gathers ``n`` rows, and no
-    other column moves before the cut is known. Of rows that are equal in ``order`` any may be taken.
+    ``df`` is evaluated once, and its rows are stored. A small cap is applied to each partition before that, so
+    that at most ``n`` rows of it are. See ``first_of_stored``.
     """
     if n <= 0:
         return df.limit(0)
-    counted = df.groupBy(*order).agg(F.count("*").alias("_copies"))
-    ranked = _running_totals(counted, order)
-    cut = materialise(ranked.where(F.col("_before") < n), "first-keys")
-    keys = cut.select(
-        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)], (F.lit(n) - F.col("_before")).alias("_left"), "_copies"
-    )
-    same = [df[c].eqNullSafe(keys[f"_k{i}"]) for i, c in enumerate(order)]
-    taken = df.join(keys, reduce(lambda a, b: a & b, same))
-    own = [df[c].alias(c) for c in df.columns]
-    whole = taken.where("_copies <= _left").select(*own)
-    return whole.unionByName(taken.where("_copies > _left").select(*own, "_left").transform(_limit_ties(df.columns)))
-
-
-def _limit_ties(columns: Sequence[str]):
-    """At most one key is cut through; its rows are limited to what is left."""
-
-    def of(ties: DataFrame) -> DataFrame:
-        left = ties.select("_left").limit(1).collect()
-        return ties.select(*columns).limit(left[0]["_left"] if left else 0)
-
-    return of
-
-
-def _running_totals(counted: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``counted`` with ``_before``: the copies of all earlier keys."""
-    parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counted.repartitionByRange(parts, *order).withColumn("_slice", F.spark_partition_id())
-    cut = materialise(ranged, "key-slices")
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # a row for each slice
-    offsets = cut.groupBy("_slice").agg(F.sum("_copies").alias("_rows"))
-    offsets = offsets.select(F.col("_slice").alias("_of"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = cut.withColumn("_local", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
-    joined = local.join(offsets, F.col("_slice") == F.col("_of"))
-    return joined.select(*order, "_copies", (F.col("_start") + F.col("_local")).alias("_before"))
+    return first_of_stored(materialise(_first_of_each_partition(df, order, n), "first-rows"), order, n)
+
+
+def _first_of_each_partition(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """At most ``n`` rows of each partition, cut before they move; caps above Spark's limit for that leave all."""
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        return df
+    return keep_n(df.withColumn("_part", F.spark_partition_id()), ["_part"], order, n).drop("_part")
+
+
+def first_of_stored(stored: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """``take_first`` for a table read from files, or a filter of one.
+
+    A histogram finds the cut: the order columns are range-partitioned, and each range gives its count and last
+    value. Ranges before the cut are taken whole by comparison with a bound; only the range with the cut is
+    sorted. A row's place in the files tells rows apart that are equal in ``order``, so that ranges stay even
+    whatever repeats. The driver sees one count for each range.
+    """
+    if n <= 0:
+        return stored.limit(0)
+    rows = _placed(stored).withColumn("_at", F.struct(*order, *_PLACE))
+    parts = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.select("_at").repartitionByRange(parts, "_at").withColumn("_range", F.spark_partition_id())
+    ranges = materialise(ranged.groupBy("_range").agg(F.count("*").alias("_rows"), F.max("_at").alias("_last")), "ranges")
+    before = 0
+    lower = None
+    for name, count in sorted(ranges.select("_range", "_rows").collect()):
+        if before + count >= n:
+            return _up_to_cut(rows, ranges, lower, name, n - before).select(*stored.columns)
+        before, lower = before + count, name
+    return stored
+
+
+def _up_to_cut(rows: DataFrame, ranges: DataFrame, lower: int | None, cut: int, left: int) -> DataFrame:
+    def last(name: int) -> Column:
+        return ranges.where(F.col("_range") == name).select("_last").scalar()
+
+    inside = rows.where(F.col("_at") <= last(cut))
+    if lower is None:
+        return inside.orderBy("_at").limit(left)
+    cut_through = inside.where(F.col("_at") > last(lower)).orderBy("_at").limit(left)
+    return rows.where(F.col("_at") <= last(lower)).unionByName(cut_through)

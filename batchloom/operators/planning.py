@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchloom.sources.files import type_histogram
@@ -90,38 +90,40 @@ def _is_unique(df: DataFrame, column: str, is_text: bool, rows: int) -> bool:
     return df.agg(F.count_distinct(value)).first()[0] == rows
 
 
-def run_stats(
-    source: str,
-    selected: DataFrame,
-    results: DataFrame,
-    errors: DataFrame,
-    written: DataFrame,
-    labels: Mapping[str, str],
-) -> DataFrame:
+#: Counts of a run: what its stats show, and the reasons for which selected rows were not sent or gave no result.
+STATS = ("source_rows", "success_count", "error_count", "written_rows")
+OUTCOMES = (
+    "null_key", "blank_text", "duplicate", "no_url", "unsupported", "oversized", "capped", "sent", "quarantined", "failed", "written"
+)
+
+
+def run_stats(spark: SparkSession, source: str, counts: Mapping[str, int], labels: Mapping[str, str]) -> DataFrame:
     """Counts of one source's run as one row; ``labels`` are provider, model and the like.
 
     A run that selected nothing has the status skipped.
     """
-    counted = [("source_rows", selected), ("success_count", results), ("error_count", errors), ("written_rows", written)]
-    parts = [
-        df.agg(F.count("*").alias("n")).select(
-            F.lit(source).alias("source"), *[(F.col("n") if k == name else F.lit(0)).alias(k) for k, _ in counted]
-        )
-        for name, df in counted
-    ]
-    total = parts[0]
-    for part in parts[1:]:
-        total = total.unionByName(part)
-    counts = total.groupBy("source").agg(*[F.sum(k).alias(k) for k, _ in counted])
-    status = F.when(F.col("source_rows") > 0, "completed").otherwise("skipped")
-    return counts.withColumns({k: F.lit(v) for k, v in labels.items()}).withColumn("batch_status", status)
+    status = "completed" if counts["source_rows"] else "skipped"
+    row = (source, *(counts[name] for name in STATS), *labels.values(), status)
+    fields = [*(f"{name} long" for name in STATS), *(f"{name} string" for name in labels)]
+    return inline_rows(spark, [row], ", ".join(["source string", *fields, "batch_status string"]))
+
+
+def failed_stats(spark: SparkSession, source: str, error: str) -> DataFrame:
+    """The row of a source whose run failed: no counts, status failed, and the error's text."""
+    fields = ", ".join(["source string", *(f"{name} long" for name in STATS), "batch_status string", "error string"])
+    return inline_rows(spark, [(source, *[None] * len(STATS), "failed", error)], fields)
+
+
+def run_outcomes(spark: SparkSession, source: str, counts: Mapping[str, int]) -> DataFrame:
+    """What became of a run's selected rows, as (source, outcome, rows); outcomes that its mode can't have are left out."""
+    rows = [(source, name, counts[name]) for name in OUTCOMES if name in counts]
+    return inline_rows(spark, rows, "source string, outcome string, rows long")
 
 
 def total_stats(per_source: Sequence[DataFrame]) -> DataFrame:
     """Stats of several sources, and their sums as source 'total'."""
     every = per_source[0]
     for stats in per_source[1:]:
-        every = every.unionByName(stats)
-    counts = ["source_rows", "success_count", "error_count", "written_rows"]
-    total = every.agg(*[F.sum(c).alias(c) for c in counts]).withColumn("source", F.lit("total"))
+        every = every.unionByName(stats, allowMissingColumns=True)
+    total = every.agg(*[F.sum(c).alias(c) for c in STATS]).withColumn("source", F.lit("total"))
     return every.unionByName(total, allowMissingColumns=True)

@@ -16,7 +16,7 @@ from batchloom.functions.media import URL_PART, is_supported, media_type
 from batchloom.functions.text import as_text, is_blank
 from batchloom.operators.grouping import keep_first
 from batchloom.operators.incremental import split_null_keys, unprocessed_rows
-from batchloom.storage import materialise
+from batchloom.storage import materialise_counted
 
 # Limits of the batch service.
 MAX_LINE_BYTES = 6 * 1024 * 1024
@@ -102,9 +102,62 @@ def dedupe_requests(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def first_copies(rows: DataFrame, keys: Sequence[str], text_col: str, order: Sequence[str] = ()) -> DataFrame:
-    """Rows that can become requests: full keys only, then no blank text, then first copies."""
-    complete, _ = split_null_keys(rows, keys)
-    return dedupe_requests(drop_blank_text(complete, text_col), keys, order or [text_col])
+    """Rows that can become requests: full keys only, then no blank text, then first copies.
+
+    Without an ``order`` the text with the least digest wins; of equal digests, the lesser text.
+    """
+    return dedupe_requests(_usable(rows, keys, text_col), keys, order or [_rank(text_col, ()), F.col(text_col)])
+
+
+def _rank(text_col: str, order: Sequence[str]) -> Column:
+    """What the first copy of a key has the least of: the order columns, or else a digest of the text."""
+    return F.struct(*order) if order else F.xxhash64(F.col(text_col).cast("string"))
+
+
+def _usable(rows: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
+    return drop_blank_text(split_null_keys(rows, keys)[0], text_col)
+
+
+def key_groups(rows: DataFrame, target: DataFrame | None, keys: Sequence[str], text_col: str, order: Sequence[str] = ()) -> DataFrame:
+    """Keys that the target lacks: (keys, _rows, _blank, _best), one row per key, without any text.
+
+    ``_rows`` and ``_blank`` count the key's rows and those with blank text; ``_best`` is the rank of its first usable
+    copy, NULL where there is none. Keys with a NULL in them are groups too, with no usable copy. Copies are
+    aggregated before they are shuffled, and the anti-join that follows uses the same partitioning.
+    """
+    complete = ~F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    blank = is_blank(F.col(text_col).cast("string"))
+    narrow = rows.select(*keys, blank.alias("_is_blank"), F.when(complete & ~blank, _rank(text_col, order)).alias("_rank"))
+    counts = (F.count("*").alias("_rows"), F.count_if("_is_blank").alias("_blank"), F.min("_rank").alias("_best"))
+    return unprocessed_rows(narrow.groupBy(*keys).agg(*counts), target, keys)
+
+
+def store_key_groups(groups: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """``key_groups`` stored, with the rows they stand for by outcome: selected, null_key, blank_text, duplicate; and usable keys."""
+    complete = ~F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    usable = F.col("_best").isNotNull()
+    return materialise_counted(
+        groups,
+        "fresh-keys",
+        selected=F.sum("_rows"),
+        null_key=F.sum(F.when(~complete, F.col("_rows"))),
+        blank_text=F.sum(F.when(complete, F.col("_blank"))),
+        duplicate=F.sum(F.when(complete & usable, F.col("_rows") - F.col("_blank") - 1)),
+        usable=F.count_if(usable),
+    )
+
+
+def copies_of(groups: DataFrame, rows: DataFrame, keys: Sequence[str], text_col: str, order: Sequence[str] = ()) -> DataFrame:
+    """The first copy of each usable key of ``groups``, with all columns of ``rows``.
+
+    A copy is a key's first if its rank isn't above the key's least. That is no equality, so rows stay partitioned
+    by key, and copies of equal rank are told apart by their text without another shuffle.
+    """
+    usable = _usable(rows, keys, text_col)
+    chosen = groups.where("_best IS NOT NULL").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_best")
+    same = reduce(lambda a, b: a & b, [usable[k] == chosen[f"_k{i}"] for i, k in enumerate(keys)])
+    first = usable.join(chosen, same & (_rank(text_col, order) <= chosen["_best"]), "left_semi")
+    return keep_first(first, keys, [*order, text_col])
 
 
 def fresh_copies(
@@ -112,19 +165,12 @@ def fresh_copies(
 ) -> DataFrame:
     """First copies of keys that the target lacks.
 
-    With an ``order``, copies are chosen and processed keys removed on key and order columns alone; text
-    is fetched for the keys that are left, so a run over a source that is mostly done moves little of it.
-    Without one the least text decides, which needs the texts.
+    Copies are chosen and processed keys removed on keys and ranks alone; text is fetched for the keys that are left,
+    so a run over a source that is mostly done moves little of it. Without an ``order`` the text with the least
+    digest wins.
     """
-    if target is None or not order:
-        return unprocessed_rows(first_copies(rows, keys, text_col, order), target, keys)
-    complete, _ = split_null_keys(rows, keys)
-    usable = drop_blank_text(complete, text_col)
-    narrow = list(dict.fromkeys([*keys, *order]))
-    chosen = materialise(unprocessed_rows(keep_first(usable.select(*narrow), keys, order), target, keys), "fresh-keys")
-    chosen = chosen.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(narrow)])
-    same = reduce(lambda a, b: a & b, [usable[c].eqNullSafe(chosen[f"_k{i}"]) for i, c in enumerate(narrow)])
-    return keep_first(usable.join(chosen, same, "left_semi"), keys, [*order, text_col])
+    groups, _ = store_key_groups(key_groups(rows, target, keys, text_col, order), keys)
+    return copies_of(groups, rows, keys, text_col, order)
 
 
 def render_requests(
@@ -139,6 +185,16 @@ def render_requests(
     return drop_oversized(with_request(stamped, options), max_bytes=max_bytes)
 
 
+def judge_requests(
+    rows: DataFrame, keys: Sequence[str], text_col: str, options: RequestOptions, max_bytes: int = MAX_LINE_BYTES
+) -> DataFrame:
+    """Rows with unique keys as (keys, source_text, custom_id, fits). A row that can't be sent keeps its key only."""
+    stamped = rows.select(*keys, as_text(F.col(text_col)).alias("source_text"), request_id(keys).alias("custom_id"))
+    judged = with_request(stamped, options).withColumn("fits", F.octet_length("request") <= max_bytes)
+    held = [F.when(F.col("fits"), F.col(c)).alias(c) for c in ("source_text", "custom_id")]
+    return judged.select(*keys, *held, "fits")
+
+
 def with_request(stamped: DataFrame, options: RequestOptions) -> DataFrame:
     """Add the request to rows of (custom_id, source_text); it follows from those two alone."""
     content = render_prompt(F.col("source_text"), options.user_prompt)
@@ -192,7 +248,14 @@ def skip_accounting(
 def build_media_requests(
     files: DataFrame, options: RequestOptions, max_bytes: int = MAX_LINE_BYTES, path_col: str = "relative_path"
 ) -> DataFrame:
-    """One request per file that has a URL and a type the provider takes.
+    """One request per file that has a URL and a type the provider takes."""
+    return judge_media_requests(files, options, max_bytes, path_col).where("outcome = 'ready'").drop("outcome")
+
+
+def judge_media_requests(
+    files: DataFrame, options: RequestOptions, max_bytes: int = MAX_LINE_BYTES, path_col: str = "relative_path"
+) -> DataFrame:
+    """Every file with its ``outcome``: ready, no_url, unsupported or oversized; a request where it is ready.
 
     The user message holds the media part, then the instruction text. The system message is left
     out where the prompt is empty.
@@ -204,21 +267,22 @@ def build_media_requests(
         *[F.when(kind == k, url).alias(part) for k, part in URL_PART.items()],
         F.lit(None).cast("string").alias("text"),
     )
-    no_url = F.lit(None).cast("struct<url:string>")
+    no_media = F.lit(None).cast("struct<url:string>")
     text_part = F.struct(
         F.lit("text").alias("type"),
-        *[no_url.alias(part) for part in URL_PART.values()],
+        *[no_media.alias(part) for part in URL_PART.values()],
         F.lit(options.user_prompt).alias("text"),
     )
     # to_json leaves NULL fields out, which yields each part's own shape.
     message = F.struct(F.lit("user").alias("role"), F.array(media_part, text_part).alias("content"))
-    sendable = files.where(
-        (F.coalesce(F.col("presigned_url"), F.lit("")) != "") & is_supported(kind, options.provider)
-    )
-    built = sendable.withColumn("custom_id", request_id([path_col])).withColumn(
-        "request", request_line(F.col("custom_id"), message, options, system=bool(options.system_prompt))
-    )
-    return drop_oversized(built, max_bytes=max_bytes)
+    request = request_line(F.col("custom_id"), message, options, system=bool(options.system_prompt))
+    no_url = F.coalesce(F.col("presigned_url"), F.lit("")) == ""
+    outcome = F.when(no_url, "no_url").when(~is_supported(kind, options.provider), "unsupported")
+    outcome = outcome.when(F.octet_length("request") > max_bytes, "oversized").otherwise("ready")
+    built = files.withColumn("custom_id", request_id([path_col])).withColumn("request", request)
+    judged = built.withColumn("outcome", outcome)
+    ready = F.col("outcome") == "ready"
+    return judged.withColumns({c: F.when(ready, F.col(c)) for c in ("custom_id", "request")})
 
 
 def _part_type(kind: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from batchloom import schemas
 from batchloom.functions.ids import restore_keys
+from batchloom.sources.lines import parse_answers
 
 
 def _first_filled(*cols: Column) -> Column:
@@ -49,6 +50,34 @@ def flatten_results(records: DataFrame, line_col: str = "line") -> DataFrame:
     )
 
 
+def flatten_answers(scored: DataFrame) -> DataFrame:
+    """Result and error lines (line, kind) as one flat table, each line parsed once for all that reads it.
+
+    Results have the columns of ``flatten_results``, errors ``error_code`` and ``error_message``. A line itself is
+    kept where it is an error or could not be used.
+    """
+    flat = flatten_results(parse_answers(scored).withColumn("kept", F.col("line")))
+    is_error = F.col("kind") == "error"
+    whole = is_error | F.col("quarantine_reason").isNotNull()
+    return flat.withColumns(
+        {
+            "custom_id": F.when(is_error, F.col("problem.custom_id")).otherwise(F.col("custom_id")),
+            "error_code": F.col("problem.error.code"),
+            "error_message": F.col("problem.error.message"),
+            "line": F.when(whole, F.col("kept")),
+        }
+    ).drop("problem", "kept")
+
+
+def split_answers(answers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``flatten_answers`` as results, errors (custom_id, error_code, error_message, raw) and quarantine."""
+    fine = answers.where(F.col("quarantine_reason").isNull())
+    own = [c for c in answers.columns if c not in ("kind", "quarantine_reason", "error_code", "error_message", "line")]
+    good = fine.where(F.col("kind") == "result").select(*own)
+    bad = fine.where(F.col("kind") == "error").select("custom_id", "error_code", "error_message", F.col("line").alias("raw"))
+    return good, bad, answers.where(F.col("quarantine_reason").isNotNull()).select("line", "quarantine_reason")
+
+
 def only_status(results: DataFrame, status: int | None = None) -> DataFrame:
     """Results with one status; every parsed result where none is asked for."""
     return results if status is None else results.where(F.col("status_code") == status)

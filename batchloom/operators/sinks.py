@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,11 +85,19 @@ def _aligned(col: Column, wanted: T.DataType) -> Column:
     return col.try_cast(wanted)
 
 
-def append_results(df: DataFrame, target: str, mode: str = "append", partition_by: Sequence[str] = ()) -> None:
-    """Write results; ``mode`` is append or overwrite."""
+def append_results(df: DataFrame, target: str, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
+    """Write results and return how many rows were written; ``mode`` is append or overwrite."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode: {mode}")
-    _write(df, target, mode, partition_by)
+    counted, seen = _counted(df)
+    _write(counted, target, mode, partition_by)
+    return seen.get["rows"]
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with a count of its rows, which the write takes on the way."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def _write(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = ()) -> None:
@@ -113,8 +121,8 @@ def new_batches(df: DataFrame, existing: DataFrame | None) -> DataFrame:
     return df.join(known, "batch_id", "left_anti").select(*df.columns)
 
 
-def idempotent_append(df: DataFrame, target: str, rebalance: bool = True) -> None:
-    """Append only batches the target does not hold yet, each batch whole or not at all.
+def idempotent_append(df: DataFrame, target: str, rebalance: bool = True) -> int:
+    """Append only batches the target does not hold yet, each batch whole or not at all; returns the rows written.
 
     A target made here is partitioned by batch: known batches are the names of its partitions, and a
     retried write replaces a batch's partition instead of adding to it. The rebalance spreads a very
@@ -127,39 +135,49 @@ def idempotent_append(df: DataFrame, target: str, rebalance: bool = True) -> Non
     """
     spark = df.sparkSession
     if not table_exists(spark, target):
-        writer = _spread(df, rebalance).write.mode("append").partitionBy("batch_id")
+        counted, seen = _counted(_spread(df, rebalance))
+        writer = counted.write.mode("append").partitionBy("batch_id")
         writer.parquet(target) if is_path(target) else writer.saveAsTable(target)
-        return
+        return seen.get["rows"]
     if "batch_id" in df.columns:
         evolve_table(spark, target, T.StructType([T.StructField("batch_id", T.StringType())]))
     existing = read_table(spark, target)
     aligned = add_missing_columns(align_to_schema(df, existing.schema), existing.schema).select(*existing.columns)
     if not partitioned_by(spark, target, "batch_id"):
-        _append(new_batches(aligned, existing), target)
-        return
+        return _append(new_batches(aligned, existing), target)
     held = [(v,) for v in partition_values(spark, target, "batch_id")]
     known = inline_rows(spark, held, "batch_id string")
     blank = F.coalesce(F.col("batch_id"), F.lit("")) == ""
     fresh = aligned.where(~blank).join(known, "batch_id", "left_anti").select(*existing.columns)
     if is_path(target):
-        replacing = _spread(fresh, rebalance).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        counted, seen = _counted(_spread(fresh, rebalance))
+        replacing = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         replacing.partitionBy("batch_id").parquet(target)
+        written = seen.get["rows"]
     else:
-        _append(_spread(fresh, rebalance), target)
-    _append(aligned.where(blank), target)
+        written = _append(_spread(fresh, rebalance), target)
+    return written + _append(aligned.where(blank), target)
 
 
-def _append(df: DataFrame, target: str) -> None:
-    """Add rows to an existing target under its own layout."""
+def append_aligned(df: DataFrame, target: str) -> int:
+    """Add rows to an existing target in its columns and types, missing ones NULL; returns how many. Nothing is compared."""
+    schema = read_table(df.sparkSession, target).schema
+    return _append(add_missing_columns(align_to_schema(df, schema), schema).select(*schema.names), target)
+
+
+def _append(df: DataFrame, target: str) -> int:
+    """Add rows to an existing target under its own layout; returns how many."""
+    df, seen = _counted(df)
     if not is_path(target):
         df.write.mode("append").insertInto(target)
-        return
+        return seen.get["rows"]
     kept = layout_of(df.sparkSession, target)
     parts = kept["partition_by"] if kept else []
     if not parts and partitioned_by(df.sparkSession, target, "batch_id"):
         parts = ["batch_id"]
     writer = df.write.mode("append")
     (writer.partitionBy(*parts) if parts else writer).parquet(target)
+    return seen.get["rows"]
 
 
 def _spread(df: DataFrame, rebalance: bool) -> DataFrame:

@@ -385,6 +385,41 @@ def _profile() -> str:
     )
 
 
+def _outcomes() -> str:
+    text = (
+        ("null_key", "SELECT COUNT(*) FROM fresh WHERE source IS NULL"),
+        ("blank_text", f"SELECT COUNT(*) FROM fresh WHERE source IS NOT NULL AND {_blank('text')}"),
+        ("duplicate", "SELECT COUNT(*) FROM cand WHERE rn > 1"),
+        ("oversized", "SELECT COUNT(*) FROM req WHERE size > 6 * 1024 * 1024"),
+        ("capped", "SELECT 0"),
+        ("sent", "SELECT COUNT(*) FROM req"),
+        ("quarantined", "SELECT 0"),
+        ("failed", "SELECT COUNT(*) FROM req WHERE size > 6000"),
+        ("written", "SELECT COUNT(*) FROM req WHERE size <= 6000"),
+    )
+    files = (
+        ("no_url", "SELECT COUNT(*) FROM wanted WHERE url IS NULL"),
+        ("unsupported", f"SELECT COUNT(*) FROM wanted WHERE url IS NOT NULL AND {_PATH_EXT} = 'mp3'"),
+        ("oversized", "SELECT 0"),
+        ("capped", "SELECT 0"),
+        ("sent", "SELECT COUNT(*) FROM filereq"),
+        ("quarantined", "SELECT 0"),
+        ("failed", "SELECT COUNT(*) FROM filereq WHERE bytes > 6000"),
+        ("written", "SELECT COUNT(*) FROM filereq WHERE bytes <= 6000"),
+    )
+
+    def rows(name: str, counts: tuple) -> str:
+        once = " UNION ALL ".join(f"SELECT '{name}' AS source, '{o}' AS outcome, CAST(({c}) AS BIGINT) AS rows" for o, c in counts)
+        return f"SELECT * FROM ({once}) UNION ALL SELECT source || ' again', outcome, CASE outcome WHEN 'written' THEN 0 ELSE rows END FROM ({once})"
+
+    wanted = (
+        f"wanted AS (SELECT f.relative_path, u.url FROM f_files f LEFT JOIN (SELECT * FROM f_url WHERE url <> '') u "
+        f"ON f.relative_path = u.relative_path WHERE starts_with(f.relative_path, 'src') AND {_PATH_EXT.replace('relative_path', 'f.relative_path')} IN "
+        "('jpg', 'png', 'mp3', 'mov') AND f.relative_path NOT IN (SELECT file_path FROM f_done_files))"
+    )
+    return f"SELECT * FROM (WITH {_ANSWERED} {rows('text', text)}) UNION ALL SELECT * FROM (WITH {_FILE_RUN}, {ctes('f_url')}, {wanted} {rows('files', files)})"
+
+
 _UNIQUE = "COUNT(DISTINCT {c}) = COUNT(*)"
 
 ORACLE = {
@@ -579,6 +614,7 @@ ORACLE = {
         "SELECT * FROM both_runs UNION ALL SELECT 'total', CAST(SUM(source_rows) AS BIGINT), CAST(SUM(success_count) AS BIGINT), "
         "CAST(SUM(error_count) AS BIGINT), CAST(SUM(written_rows) AS BIGINT), NULL, NULL, NULL, NULL FROM both_runs"
     ),
+    "run_outcomes": _outcomes(),
     "resume_batch": f"WITH {_AUDITED} SELECT * FROM audited",
     "preview_sample": (
         f"WITH {_REQ}, first AS (SELECT *, strlen(request) AS size FROM req ORDER BY doc_id, source LIMIT 5) SELECT custom_id, "

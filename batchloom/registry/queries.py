@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -459,7 +460,22 @@ def enrich_files(spark, sf):
 @query
 def run_stats(spark, sf):
     runs = {"text": lambda: _text_run(spark, sf), "files": lambda: _file_run(spark, sf)}
-    return enrich.enrich_all(runs).drop("elapsed_seconds")
+    targets = {name: work_path(spark, "enriched") for name in runs}
+    stats = enrich.enrich_all(runs, lambda name, run: enrich.write_run(run, targets[name]))
+    return stats.drop("elapsed_seconds")
+
+
+@query
+def run_outcomes(spark, sf):
+    """Skips by reason and rows written, of both modes; the same batches again write nothing."""
+    found = []
+    for name, start in (("text", _text_run), ("files", _file_run)):
+        target = work_path(spark, "enriched")
+        for again in ("", " again"):
+            run = start(spark, sf)
+            enrich.write_run(run, target)
+            found.append(run.outcomes(name + again))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query

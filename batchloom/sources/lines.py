@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,17 +60,33 @@ def parse_lines(lines: DataFrame, schema: T.StructType, line_col: str = "line")
     A line is set aside when it is not JSON of the expected shape, names no request, or carries
     an explicit null response.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    record = F.from_json(F.col(line_col), schema, options)
-    parsed = lines.where(~is_blank(F.col(line_col))).withColumn("record", record)
-    reason = F.when(F.col("record._corrupt").isNotNull() | F.col("record").isNull(), "not_json").when(
-        F.coalesce(F.col("record.custom_id"), F.lit("")) == "", "no_custom_id"
+    parsed = lines.where(~is_blank(F.col(line_col))).withColumn("record", _record(F.col(line_col), schema))
+    return parsed.withColumn("quarantine_reason", _reason(F.col(line_col), "record", "response" in schema.names))
+
+
+def _record(line: Column, schema: T.StructType) -> Column:
+    return F.from_json(line, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+
+
+def _reason(line: Column, record: str, has_response: bool) -> Column:
+    """Why a parsed line can't be used. Names are looked up only where the response is missing."""
+    reason = F.when(F.col(f"{record}._corrupt").isNotNull() | F.col(record).isNull(), "not_json").when(
+        F.coalesce(F.col(f"{record}.custom_id"), F.lit("")) == "", "no_custom_id"
+    )
+    if not has_response:
+        return reason
+    named = F.array_contains(F.json_object_keys(line), "response")
+    return reason.when(F.col(f"{record}.response").isNull() & named, "null_response")
+
+
+def parse_answers(scored: DataFrame) -> DataFrame:
+    """Lines of both kinds (line, kind) parsed in one pass: ``record`` of a result, ``problem`` of an error."""
+    is_error, line = F.col("kind") == "error", F.col("line")
+    lines = scored.select("line", "kind").where(F.col("kind").isin("result", "error") & ~is_blank(line))
+    parsed = lines.withColumns(
+        {"record": F.when(~is_error, _record(line, RESULT_LINE)), "problem": F.when(is_error, _record(line, ERROR_LINE))}
     )
-    if "response" in schema.names:
-        names = F.json_object_keys(F.col(line_col))
-        reason = reason.when(
-            F.col("record.response").isNull() & F.array_contains(names, "response"), "null_response"
-        )
+    reason = F.when(is_error, _reason(line, "problem", False)).otherwise(_reason(line, "record", True))
     return parsed.withColumn("quarantine_reason", reason)
 
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -51,6 +51,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise_counted(df: DataFrame, label: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialise`` with aggregates of the rows, taken by the write itself; an aggregate of no rows is 0."""
+    seen = Observation()
+    stored = materialise(df.observe(seen, *[c.alias(name) for name, c in counts.items()]), label)
+    return stored, {name: value or 0 for name, value in seen.get.items()}
+
+
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
     """A caller's few rows as a local relation, whose size Spark knows when it plans joins."""
     layout = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -181,3 +181,49 @@ def test_bucketed_master_is_not_shuffled(spark):
 
 def test_work_folder_is_the_sessions(spark):
     assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def _calls(spark, rows):
+    """``rows`` behind a Python function that counts how often it is called."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def touched(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(touched, rows.schema), calls
+
+
+@pytest.mark.parametrize("n", [1, 7, 250, 999, 1000, 1500, 2400, 5000])
+def test_cap_reads_its_input_once_and_is_exact(spark, n):
+    """Ties that fill whole ranges, NULLs, and two order columns; caps below and above the per-partition limit."""
+    k = F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 17 == 0, None).otherwise(F.col("id") * 7 % 40)
+    rows = spark.range(0, 2400, 1, 6).select(k.alias("k"), (F.col("id") % 2).cast("string").alias("s"), F.col("id").alias("v"))
+    order = lambda r: tuple((x is not None, x if x is not None else 0) for x in (r.k, r.s))
+    expected = sorted(map(order, rows.collect()))[:n]
+    watched, calls = _calls(spark, rows)
+    got = grouping.take_first(watched, ["k", "s"], n)
+    found = got.collect()
+    assert sorted(map(order, found)) == expected and len({r.v for r in found}) == len(found)
+    assert calls.value == 2400 and got.columns == ["k", "s", "v"]
+
+
+def test_small_cap_is_cut_before_rows_move(spark):
+    plan = grouping._first_of_each_partition(spark.range(100).select("id"), ["id"], 10)
+    assert "WindowGroupLimit" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sequence_keeps_ties_apart(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 1, "y"), (None, 2, "z"), ("a", 0, "w"), (None, None, "q")], "g string, o int, v string")
+    watched, calls = _calls(spark, rows)
+    got = grouping.sequence_in_group(watched, ["g"], ["o"], slices=3).collect()
+    assert sorted((r.g or "", r.seq) for r in got) == [("", 1), ("", 2), ("a", 1), ("a", 2), ("a", 3), ("a", 4)]
+    assert {(r.g, r.v): r.seq for r in got if r.v in "wqz"} == {("a", "w"): 1, (None, "q"): 1, (None, "z"): 2}
+    assert calls.value == 6
+
+
+def test_one_hot_group_spreads_over_slices(spark):
+    rows = spark.range(0, 3000, 1, 4).select(F.lit("hot").alias("g"), F.lit(1).alias("o"), F.col("id").alias("v"))
+    got = grouping.sequence_in_group(rows, ["g"], ["o"], slices=4).collect()
+    assert sorted(r.seq for r in got) == list(range(1, 3001)) and len({r.v for r in got}) == 3000
