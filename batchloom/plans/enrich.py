@@ -29,6 +29,7 @@ from batchloom.operators.sinks import (
 )
 from batchloom.sources.files import attach_urls, extension_glob, list_files
 from batchloom.sources.lines import read_result_lines
+from batchloom.sources.tree import Lister, list_tree
 from batchloom.storage import inline_rows, materialise_counted, path_exists, table_exists
 
 # A scorer maps requests (custom_id, request, ...) to result and error lines (custom_id, line, kind),
@@ -203,8 +204,15 @@ def discover_files(
     extensions: Sequence[str] = (),
     prefix: str = "",
     limit: int = 0,
+    lister: Lister | None = None,
 ) -> DataFrame:
-    """List new files of a folder. Extensions, and a prefix that names a folder, prune the listing."""
+    """List new files of a folder. Extensions, and a prefix that names a folder, prune the listing.
+
+    With a ``lister``, such as ``tree.list_folder``, tasks list the tree, empty files included; otherwise the driver's
+    file index does.
+    """
+    if lister:
+        return incremental.unprocessed_files(list_tree(spark, root, prefix, extensions, lister), target, limit=limit)
     folders = [prefix] if prefix.endswith("/") else []
     if folders and not path_exists(spark, f"{root.rstrip('/')}/{prefix}"):
         return inline_rows(spark, [], "relative_path string, size bigint")

@@ -428,6 +428,10 @@ ORACLE = {
         "FROM f_req WHERE lang <> 'de' OR copy_no = 1"
     ),
     "file_listing": "SELECT DISTINCT 'source=' || source || '/lang=' || lang AS folder, TRUE AS has_bytes FROM documents",
+    "file_tree": (
+        "SELECT 'lang=' || lang || '/bucket=' || (doc_id % 50) AS folder, CAST(SUM(strlen(COALESCE(text, '')) + 1) AS BIGINT) AS size "
+        "FROM documents WHERE starts_with(lang, 'e') GROUP BY 1"
+    ),
     "file_inventory": (
         f"WITH {ctes('f_inventory')} SELECT relative_path, COALESCE(size, 0) AS size FROM f_inventory WHERE relative_path <> ''"
     ),

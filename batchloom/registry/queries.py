@@ -14,7 +14,7 @@ from batchloom.operators import grouping, incremental, ledger, planning, request
 from batchloom.operators.requests import RequestOptions
 from batchloom.plans import analytics, channels, enrich, quality
 from batchloom.registry.fixtures import ai_tables, recipe, sales_tables, stored, table
-from batchloom.sources import files, lines, tables
+from batchloom.sources import files, lines, tables, tree
 from batchloom.storage import materialise, read_table, work_path
 from batchloom.streaming import harvest
 
@@ -54,6 +54,16 @@ def file_listing(spark, sf):
     return listed.groupBy(folder.alias("folder")).agg((F.sum("size") > 0).alias("has_bytes"))
 
 
+@query
+def file_tree(spark, sf):
+    """A tree of text files, one in each folder, listed by tasks: every file's folder and bytes."""
+    path = work_path(spark, "tree")
+    docs = table(spark, sf, "documents").select(F.coalesce("lang", F.lit("none")).alias("lang"), (F.col("doc_id") % 50).alias("bucket"), "text")
+    docs.repartition("lang", "bucket").write.partitionBy("lang", "bucket").text(path)
+    listed = tree.list_tree(spark, path, prefix="lang=e", extensions=["txt"])
+    return listed.select(F.regexp_replace("relative_path", "/[^/]*$", "").alias("folder"), "size")
+
+
 @query
 def file_inventory(spark, sf):
     return files.from_inventory(recipe(spark, sf, "f_inventory"))

@@ -24,8 +24,9 @@ def list_files(
 ) -> DataFrame:
     """Files below ``root`` as (relative_path, size), contents unread.
 
-    Given more than a few ``prefixes``, Spark lists them in parallel tasks. A store with more files
-    than a driver can index should export its inventory as a table; see ``from_inventory``.
+    Given more than a few ``prefixes``, Spark lists them in parallel tasks. The index is on the driver, and files
+    without bytes are not in it. For trees larger than that see ``tree.list_tree``, or export the store's inventory as a
+    table for ``from_inventory``.
     """
     base = root.rstrip("/")
     paths = [f"{base}/{p.strip('/')}" for p in prefixes] or [base]
@@ -57,7 +58,7 @@ def filter_extensions(files: DataFrame, extensions: Sequence[str], path_col: str
     """Files with one of the extensions, in any case, with or without the dot; no list, no filter."""
     if not extensions:
         return files
-    wanted = [e.lower() if e.startswith(".") else f".{e.lower()}" for e in extensions]
+    wanted = ["." + e.lstrip(".").lower() for e in extensions]
     return files.where(extension(F.col(path_col)).isin(wanted))
 
 
