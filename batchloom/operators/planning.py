@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from batchloom.sources.files import type_histogram
 from batchloom.storage import inline_rows
@@ -54,40 +55,84 @@ def plan_files(files: DataFrame, sample: int = 10, path_col: str = "relative_pat
 def plan_profile(df: DataFrame) -> DataFrame:
     """Per column: type, rows, mean text length, and whether it could be the key or the text.
 
-    One pass takes approximate distinct counts. Only columns that come near the row count are
-    then counted exactly, so the costly distinct aggregate runs on few columns.
+    One job measures all columns, exactly: every cell becomes a 64-bit digest with its column's number, equal cells
+    are counted together, on the map side first, and a second digest tells repeats of a value from different values
+    that share a digest. Only a column whose repeats are all of the latter kind, as chance allows from some billions
+    of rows, is counted again on both digests. No text crosses the shuffle. Maps and variants can't be keys.
     """
-    spark = df.sparkSession
-    columns = [f.name for f in df.schema.fields]
-    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    first = df.agg(
-        F.count("*").alias("rows"),
-        *[F.approx_count_distinct(c, 0.02).alias(f"near_{i}") for i, c in enumerate(columns)],
-        *[F.avg(F.length(c)).alias(f"chars_{i}") for i, c in enumerate(texts)],
-    ).first()
-    rows = first["rows"]
-    near = [c for i, c in enumerate(columns) if first[f"near_{i}"] >= 0.9 * rows]
-    exact = {}
-    for c in near:
-        exact[c] = _is_unique(df, c, c in texts, rows)
-    chars = {c: first[f"chars_{i}"] or 0.0 for i, c in enumerate(texts)}
+    fields = df.schema.fields
+    measured = {i: f for i, f in enumerate(fields) if f.dataType.typeName() not in ("map", "variant")}
+    # A cell of no column counts the rows.
+    cells = [_cell(-1, F.lit(0), None)] + [_cell(i, _column(f), f) for i, f in measured.items()]
+    each = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("digest").isNotNull())
+    values = each.groupBy("column", "digest").agg(
+        F.count("*").alias("cells"),
+        F.sum("chars").alias("chars"),
+        F.min("second").alias("least"),
+        F.max("second").alias("most"),
+    )
+    again = F.col("cells") > 1
+    found = {
+        r.column: r
+        for r in values.groupBy("column")
+        .agg(
+            F.sum("cells").alias("filled"),
+            F.sum("chars").alias("chars"),
+            F.count_if(again & (F.col("least") == F.col("most"))).alias("repeats"),
+            F.count_if(again & (F.col("least") != F.col("most"))).alias("shared"),
+        )
+        .collect()
+    }
+    rows = found[-1].filled if -1 in found else 0
+    chars = {f.name: _mean_chars(found.get(i)) for i, f in measured.items() if f.dataType.typeName() == "string"}
     longest = max(chars, key=lambda c: chars[c], default=None)
+
+    def unique(i: int) -> bool:
+        if i not in measured or (i not in found and rows):
+            return False
+        if not rows:
+            return True
+        at = found[i]
+        whole = at.filled == rows and not at.repeats
+        return whole and (not at.shared or _is_unique(df, _column(fields[i]), rows))
+
     described = [
-        (f.name, f.dataType.simpleString(), rows, chars.get(f.name), exact.get(f.name, False), f.name == longest)
-        for f in df.schema.fields
+        (f.name, f.dataType.simpleString(), rows, chars.get(f.name), unique(i), f.name == longest) for i, f in enumerate(fields)
     ]
     return inline_rows(
-        spark,
+        df.sparkSession,
         described,
         "column_name string, data_type string, row_count bigint, mean_chars double, "
         "key_candidate boolean, text_candidate boolean",
     )
 
 
-def _is_unique(df: DataFrame, column: str, is_text: bool, rows: int) -> bool:
-    """Exact uniqueness; long text is shuffled as a 16-byte digest."""
-    value = F.unhex(F.md5(column)) if is_text else F.col(column)
-    return df.agg(F.count_distinct(value)).first()[0] == rows
+def _column(field: T.StructField) -> Column:
+    return F.col("`" + field.name.replace("`", "``") + "`")
+
+
+def _digests(value: Column) -> tuple[Column, Column]:
+    return F.xxhash64(value), F.xxhash64(F.lit(1), value)
+
+
+def _cell(number: int, value: Column, field: T.StructField | None) -> Column:
+    digest, second = _digests(value)
+    chars = F.length(value) if field and field.dataType.typeName() == "string" else F.lit(None)
+    return F.struct(
+        F.lit(number).alias("column"),
+        F.when(value.isNotNull(), digest).alias("digest"),
+        second.alias("second"),
+        chars.cast("long").alias("chars"),
+    )
+
+
+def _mean_chars(found: Row | None) -> float:
+    return found.chars / found.filled if found and found.chars is not None else 0.0
+
+
+def _is_unique(df: DataFrame, value: Column, rows: int) -> bool:
+    """Uniqueness by both digests of a value, 16 bytes."""
+    return df.where(value.isNotNull()).agg(F.count_distinct(*_digests(value))).first()[0] == rows
 
 
 #: Counts of a run: what its stats show, and the reasons for which selected rows were not sent or gave no result.

@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 
 from batchloom import schemas
 from batchloom.storage import (
+    has_partition,
     inline_rows,
     is_path,
     keep_layout,
     layout_of,
+    layout_schema,
     materialise,
     partition_values,
     partitioned_by,
@@ -50,7 +52,7 @@ def evolve_table(spark: SparkSession, target: str, wanted: T.StructType = schema
 
     A folder keeps its new layout beside the data, by which ``read_table`` reads it.
     """
-    held = read_table(spark, target).schema
+    held = layout_schema(spark, target)
     missing = missing_columns(held, wanted)
     if missing and is_path(target):
         parts = [c for c in held.names if partitioned_by(spark, target, c)]
@@ -110,58 +112,93 @@ def _write(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] =
         writer.saveAsTable(target)
 
 
+#: Up to so many incoming batch ids are looked up one by one; more are compared with the target's partition names.
+LOOKUPS = 1_000
+
+
 def new_batches(df: DataFrame, existing: DataFrame | None) -> DataFrame:
     """Rows of batches the target does not hold; a target without batch ids holds none.
 
-    Rows without a batch id always pass: nothing says that they were seen before.
+    Rows without a batch id always pass: nothing says that they were seen before. Only the batches that ``df`` brings
+    are looked for, so that files of other batches are skipped by their statistics.
     """
     if existing is None or "batch_id" not in [c.lower() for c in existing.columns]:
         return df
-    known = materialise(existing.select("batch_id").where("batch_id <> ''").distinct(), "known-batches")
+    wanted = existing.select("batch_id").where("batch_id <> ''")
+    incoming = incoming_batches(df)
+    if len(incoming) <= LOOKUPS:
+        wanted = wanted.where(F.col("batch_id").isin([i for i in incoming if i]))
+    known = materialise(wanted.distinct(), "known-batches")
     return df.join(known, "batch_id", "left_anti").select(*df.columns)
 
 
-def idempotent_append(df: DataFrame, target: str, rebalance: bool = True) -> int:
+def incoming_batches(df: DataFrame) -> list[str | None]:
+    """The batch ids of ``df``; if there are more than ``LOOKUPS``, one more than that."""
+    return [r[0] for r in df.select("batch_id").distinct().limit(LOOKUPS + 1).collect()]
+
+
+def idempotent_append(df: DataFrame, target: str, rebalance: bool = True, batches: Sequence[str] | None = None) -> int:
     """Append only batches the target does not hold yet, each batch whole or not at all; returns the rows written.
 
-    A target made here is partitioned by batch: known batches are the names of its partitions, and a
-    retried write replaces a batch's partition instead of adding to it. The rebalance spreads a very
-    large batch over several files and joins small ones, where a plain repartition would make it one
-    task; rows of a single batch do without. A target of another layout gets a plain append of its
-    new batches; rows take its column types. A target without batch ids gets that column first.
+    A target made here is partitioned by batch, and keeps its layout beside its data. An append looks up the partitions
+    of its own batches and no others, so its cost doesn't grow with the target's history. A retried write replaces a batch's
+    partition instead of adding to it. ``batches`` names the batch ids of ``df``, all of them filled, where the caller
+    knows them; otherwise they are read from it first. The rebalance spreads a very large batch over several files and
+    joins small ones, where a plain repartition would make it one task; rows of a single batch do without. A target
+    of another layout gets a plain append of its new batches; rows take its column types. A target without batch
+    ids gets that column first.
 
     Rows with a NULL or empty batch id can't be told from earlier ones: they are appended each time
     and never replace anything.
     """
     spark = df.sparkSession
     if not table_exists(spark, target):
+        if is_path(target):
+            keep_layout(spark, target, _layout(df), ["batch_id"])
         counted, seen = _counted(_spread(df, rebalance))
         writer = counted.write.mode("append").partitionBy("batch_id")
         writer.parquet(target) if is_path(target) else writer.saveAsTable(target)
         return seen.get["rows"]
     if "batch_id" in df.columns:
         evolve_table(spark, target, T.StructType([T.StructField("batch_id", T.StringType())]))
-    existing = read_table(spark, target)
-    aligned = add_missing_columns(align_to_schema(df, existing.schema), existing.schema).select(*existing.columns)
+    schema = layout_schema(spark, target)
+    aligned = add_missing_columns(align_to_schema(df, schema), schema).select(*schema.names)
     if not partitioned_by(spark, target, "batch_id"):
-        return _append(new_batches(aligned, existing), target)
-    held = [(v,) for v in partition_values(spark, target, "batch_id")]
-    known = inline_rows(spark, held, "batch_id string")
-    blank = F.coalesce(F.col("batch_id"), F.lit("")) == ""
-    fresh = aligned.where(~blank).join(known, "batch_id", "left_anti").select(*existing.columns)
-    if is_path(target):
-        counted, seen = _counted(_spread(fresh, rebalance))
-        replacing = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        replacing.partitionBy("batch_id").parquet(target)
-        written = seen.get["rows"]
+        return _append(new_batches(aligned, read_table(spark, target)), target)
+    incoming = list(batches) if batches is not None else incoming_batches(aligned)
+    if len(incoming) <= LOOKUPS:
+        held = [i for i in incoming if i and has_partition(spark, target, "batch_id", i)]
     else:
-        written = _append(_spread(fresh, rebalance), target)
-    return written + _append(aligned.where(blank), target)
+        held = partition_values(spark, target, "batch_id")
+    blank = F.coalesce(F.col("batch_id"), F.lit("")) == ""
+    written = 0
+    if len(incoming) > LOOKUPS or any(i and i not in held for i in incoming):
+        known = inline_rows(spark, [(v,) for v in held], "batch_id string")
+        fresh = aligned.where(~blank).join(known, "batch_id", "left_anti").select(*schema.names)
+        written = _replace_batches(fresh, target, rebalance)
+    if len(incoming) > LOOKUPS or not all(incoming):
+        written += _append(aligned.where(blank), target)
+    return written
+
+
+def _layout(df: DataFrame) -> T.StructType:
+    """The columns as a reader will find them: partition columns come last, and everything may be NULL."""
+    fields = sorted(df.schema.fields, key=lambda f: f.name == "batch_id")
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in fields])
+
+
+def _replace_batches(fresh: DataFrame, target: str, rebalance: bool) -> int:
+    if not is_path(target):
+        return _append(_spread(fresh, rebalance), target)
+    counted, seen = _counted(_spread(fresh, rebalance))
+    replacing = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    replacing.partitionBy("batch_id").parquet(target)
+    return seen.get["rows"]
 
 
 def append_aligned(df: DataFrame, target: str) -> int:
     """Add rows to an existing target in its columns and types, missing ones NULL; returns how many. Nothing is compared."""
-    schema = read_table(df.sparkSession, target).schema
+    schema = layout_schema(df.sparkSession, target)
     return _append(add_missing_columns(align_to_schema(df, schema), schema).select(*schema.names), target)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from batchloom import schemas as S
 from batchloom.functions.ranges import nonzero, normalise_ranges, within
-from batchloom.functions.text import to_integer, to_number
+from batchloom.functions.text import strip, to_integer, to_number
 from batchloom.operators.grouping import sequence_in_group
 from batchloom.storage import materialise
 
@@ -123,12 +123,13 @@ def parse_product_json(df: DataFrame, fields: Sequence[str] = S.PRODUCT_FIELDS,
 def entity_code(brand: Column, cat_code: Column, seq: Column, spec: Column) -> Column:
     """Brand initials, category, sequence and grams as one code.
 
-    The sequence is padded to four digits and never cut. A size that is no number counts as 0, and
-    grams are truncated to an integer.
+    The sequence is padded to four digits and never cut. A size that is no number counts as 0. Kilograms are read
+    as a decimal, and fractions of a gram are cut off.
     """
     number = seq.cast("string")
     padded = F.lpad(number, F.greatest(F.lit(4), F.length(number)), F.lit("0"))
-    grams = F.coalesce((to_number(spec) * 1000).try_cast("int"), F.lit(0))
+    kilograms = F.when(to_number(spec).isNotNull(), strip(spec).try_cast("decimal(28,10)"))  # a double of 1.001 is below it
+    grams = F.coalesce((kilograms * F.lit(1000).cast("decimal(4,0)")).try_cast("int"), F.lit(0))
     return F.concat(
         F.coalesce(F.upper(F.substring(brand, 1, 2)), F.lit("XX")),
         F.lit("-PS-CL-"),

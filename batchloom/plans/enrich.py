@@ -286,7 +286,7 @@ def _write_rows(run: Run, target: str, mode: str, full_refresh: bool, include_me
         return append_results(rows, target, mode, partition_by=["batch_id"])
     if not new:
         evolve_table(spark, target)
-    return idempotent_append(rows, target, rebalance=False)
+    return idempotent_append(rows, target, rebalance=False, batches=[run.labels["batch_id"]])
 
 
 class SourcesFailed(RuntimeError):

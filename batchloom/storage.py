@@ -161,6 +161,23 @@ def partitioned_by(spark: SparkSession, target: str, column: str) -> bool:
     return bool(_partition_folders(spark, target, column))
 
 
+def has_partition(spark: SparkSession, target: str, column: str, value: str) -> bool:
+    """Whether a partitioned target holds rows of one value; no other partition is looked at."""
+    jvm = spark.sparkContext._jvm
+    if is_path(target):
+        escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+        return has_data(spark, f"{target.rstrip('/')}/{column}={escaped}")
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    return bool(spark.sql(f"SHOW PARTITIONS {target} PARTITION ({column} = '{quoted}')").take(1))
+
+
+def layout_schema(spark: SparkSession, target: str) -> T.StructType:
+    """An existing target's columns: from its kept layout, which needs no listing of its files, where it has one."""
+    if is_path(target) and (kept := layout_of(spark, target)):
+        return kept["schema"]
+    return read_table(spark, target).schema
+
+
 def _partition_folders(spark: SparkSession, folder: str, column: str) -> list[str]:
     files, path = _hadoop(spark, f"{folder.rstrip('/')}/{column}=*")
     return [status.getPath().getName().partition("=")[2] for status in files.globStatus(path)]

@@ -1,5 +1,8 @@
 """Appends of batch and stream runs into targets that hold rows already, and streams with gaps."""
 
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,3 +173,46 @@ def test_text_of_processed_keys_is_not_moved(spark):
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     above = plan[: plan.index("LeftSemi")]
     assert above.count("Exchange hashpartitioning") == 1 and "BroadcastExchange" in plan
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_append_looks_at_no_batch_but_its_own(spark, monkeypatch, known):
+    """Neither partitions nor files of earlier batches are listed, also where ids need escapes."""
+    path = work_path(spark, "indexed")
+    ids = ["a/b=c", "2024-05-01", "x y'z", "back\\slash", "é%41"]
+    for i in ids:
+        sinks.idempotent_append(spark.createDataFrame([("1", i)], ROWS), path)
+
+    def never(*_):
+        raise AssertionError("the whole history is listed")
+
+    monkeypatch.setattr(sinks, "partition_values", never)
+    monkeypatch.setattr(sinks, "read_table", never)
+    for i in ids:
+        offered = spark.createDataFrame([("2", i)], ROWS)
+        assert sinks.idempotent_append(offered, path, batches=[i] if known else None) == 0
+    assert sinks.idempotent_append(spark.createDataFrame([("3", "new"), ("4", "new")], ROWS), path, batches=["new"] if known else None) == 2
+    assert Counter(r.batch_id for r in read_table(spark, path).collect()) == Counter([*ids, "new", "new"])
+
+
+@pytest.mark.parametrize("kind", ["path", "catalog"])
+def test_more_batches_than_are_looked_up(spark, monkeypatch, kind):
+    monkeypatch.setattr(sinks, "LOOKUPS", 3)
+    target = work_path(spark, "many") if kind == "path" else "many_batches"
+    rows = [(str(i), f"b{i % 6}") for i in range(12)]
+    assert sinks.idempotent_append(spark.createDataFrame(rows, ROWS), target) == 12
+    more = rows + [("n", f"b{i}") for i in range(5, 9)] + [("blank", None), ("blank", "")]
+    assert sinks.idempotent_append(spark.createDataFrame(more, ROWS), target) == 5
+    assert sinks.idempotent_append(spark.createDataFrame([("q", "b9"), ("q", "b1")], ROWS), target) == 1
+    after = Counter(r.batch_id or "" for r in read_table(spark, target).collect())
+    assert after == Counter({**{f"b{i}": 2 for i in range(6)}, "b6": 1, "b7": 1, "b8": 1, "b9": 1, "": 2})
+    if kind == "catalog":
+        spark.sql(f"DROP TABLE {target}")
+
+
+def test_targets_of_earlier_layouts_are_still_read(spark):
+    """A partitioned folder without a kept layout, as other writers leave it."""
+    path = work_path(spark, "foreign")
+    spark.createDataFrame([("1", "b1")], ROWS).write.partitionBy("batch_id").parquet(path)
+    assert sinks.idempotent_append(spark.createDataFrame([("1", "b1"), ("2", "b2")], ROWS), path) == 1
+    assert read_table(spark, path).count() == 2

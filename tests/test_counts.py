@@ -175,3 +175,35 @@ def test_all_sources_failing(spark):
     assert failed.value.stats is None
     row = {r.source: r for r in enrich.enrich_all({"x": broken}, report_failures=True).collect()}
     assert row["x"].batch_status == "failed" and row["total"].source_rows is None
+
+
+def test_profile_measures_all_columns_in_one_job(spark, monkeypatch):
+    from batchloom.operators import planning
+
+    rows = [(i, float(i % 7), f"text {i}", None if i == 3 else str(i), [i], {"a": i}, 0.0 if i else -0.0) for i in range(60)]
+    plain = spark.createDataFrame(rows, "k int, v double, body string, gap string, list array<int>, held map<string,int>, zero double")
+    df = plain.withColumnRenamed("k", "a.b")
+    watched, calls = watch(spark, plain)
+    found = {r.column_name: r for r in planning.plan_profile(watched.withColumnRenamed("k", "a.b")).collect()}
+    assert calls.value == 60
+    assert {n for n, r in found.items() if r.key_candidate} == {"a.b", "body", "list"}
+    assert [n for n, r in found.items() if r.text_candidate] == ["body"]
+    assert found["body"].mean_chars == sum(len(r[2]) for r in rows) / 60 and found["held"].mean_chars is None
+    plan_calls = []
+    monkeypatch.setattr(planning, "_is_unique", lambda *a: plan_calls.append(a) or True)
+    monkeypatch.setattr(planning, "_digests", lambda value: (F.abs(F.hash(value)) % 40, F.xxhash64(value)))
+    found = {r.column_name: r for r in planning.plan_profile(df).collect()}
+    assert {n for n, r in found.items() if r.key_candidate} == {"a.b", "body", "list"} and len(plan_calls) == 3
+    none = {r.column_name: r for r in planning.plan_profile(df.where("v < 0")).collect()}
+    assert none["body"].row_count == 0 and none["body"].mean_chars == 0.0
+
+
+def watch(spark, df):
+    calls = spark.sparkContext.accumulator(0)
+
+    def touched(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(touched, df.schema), calls

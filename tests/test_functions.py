@@ -114,6 +114,14 @@ def test_prompt_is_literal(spark):
     assert tuple(got.first()) == ("A $1 {text} \\d B $1 {text} \\d", "$1 {text} \\d")
 
 
+def test_grams_are_exact(spark):
+    sizes = ["1.001", "0.29", "4.35", " 2.01 ", "-1.5", "1e3", "99999999", "0.0009"]
+    frame = spark.createDataFrame([(s,) for s in sizes], "p string")
+    codes = [r[0] for r in frame.select(entity_code(F.lit("b"), F.lit("c"), F.lit(1), F.col("p"))).collect()]
+    grams = [c.removeprefix("B-PS-CL-c-0001-") for c in codes]
+    assert grams == ["1001", "290", "4350", "2010", "-1500", "1000000", "0", "0"]
+
+
 def test_entity_code(spark):
     rows = [("福丸", "A-B", 3, "2.5"), (None, None, 12345, "2.5kg"), ("", "X-Y", 1, ""), ("ab", "C-D", 2, None), ("q", "C-D", 2, "0.0019")]
     frame = spark.createDataFrame(rows, "b string, c string, s int, p string")
