@@ -34,11 +34,15 @@ def unprocessed_rows(
     """
     rows = source.where(F.expr(where)) if where else source
     if target is not None:
-        done = target.select(*[_as_source_type(source, target, k) for k in keys]).distinct()
-        rows = rows.join(done, list(keys), "left_anti")
+        rows = rows.join(target_keys(source, target, keys), list(keys), "left_anti")
     return take_first(rows, keys, limit) if limit > 0 else rows
 
 
+def target_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A target's distinct keys in the types of the source's."""
+    return target.select(*[_as_source_type(source, target, k) for k in keys]).distinct()
+
+
 def _as_source_type(source: DataFrame, target: DataFrame, key: str) -> Column:
     """A target key; text is read in the source's type where that is not text."""
     wanted = source.select(key).schema[0].dataType

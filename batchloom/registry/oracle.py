@@ -632,6 +632,9 @@ ORACLE = {
     "stream_incremental": (
         "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"
     ),
+    "stream_selection": (
+        "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"
+    ),
     "stream_enriched": (
         f"WITH {ctes('f_tgt')} SELECT d.doc_id, d.lang, t.ai_result FROM documents d JOIN f_tgt t ON d.doc_id = t.doc_id"
     ),

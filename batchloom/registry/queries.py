@@ -16,7 +16,7 @@ from batchloom.plans import analytics, channels, enrich, quality
 from batchloom.registry.fixtures import ai_tables, recipe, sales_tables, stored, table
 from batchloom.sources import files, lines, tables, tree
 from batchloom.storage import materialise, read_table, work_path
-from batchloom.streaming import harvest
+from batchloom.streaming import harvest, selection
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -544,6 +544,18 @@ def stream_incremental(spark, sf):
     return spark.read.parquet(selected).select("user_id")
 
 
+@query
+def stream_selection(spark, sf):
+    """The same selection by state: seeded once from the target, then each user once, however often events arrive."""
+    folder, state, selected = work_path(spark, "arriving"), work_path(spark, "state"), work_path(spark, "selected")
+    events = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    known = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("user_id"))
+    for part in ("ts < '2024-01-02'", "TRUE"):
+        events.where(part).write.mode("append").parquet(folder)
+        selection.stream_selection(spark, folder, events.schema, ["user_id"], selected, state, known, ["ts"]).awaitTermination()
+    return spark.read.schema(events.schema).parquet(selected).select("user_id")
+
+
 @query
 def stream_enriched(spark, sf):
     folder, view, state = work_path(spark, "results"), work_path(spark, "view"), work_path(spark, "state")
