@@ -75,6 +75,27 @@ def raw_vs_parsed(raw: DataFrame, master: DataFrame, spec: ChannelSpec = CHANNEL
     return parsed.join(own, S.SOURCE_KEY, "left_semi").select(spec.title, *texts, *read)
 
 
+def range_readings(
+    sales: Mapping[str, DataFrame], master: DataFrame, specs: Sequence[ChannelSpec] = CHANNELS
+) -> DataFrame:
+    """Every range text of every channel beside its number: (channel, source_key, metric, raw_text, value).
+
+    As in ``raw_vs_parsed``, each row is read beside its own texts, and only rows with a master entry are shown;
+    a row that is there twice is shown twice.
+    """
+    read = []
+    for spec in specs:
+        if spec.channel in sales and spec.midpoint:
+            texts = {m: F.col(c).alias(f"_raw_{m}") for m, c in spec.midpoint.items()}
+            rows = standardise_channel(sales[spec.channel], spec, list(texts.values()))
+            parts = {m: (F.lit(m).alias("metric"), F.col(f"_raw_{m}").alias("raw_text"), F.col(m).alias("value")) for m in texts}
+            cells = F.explode(F.array(*[F.struct(*p) for p in parts.values()])).alias("cell")
+            read.append(rows.select(F.col(S.CHANNEL).alias("channel"), F.col(S.SOURCE_KEY).alias("source_key"), cells))
+    own = master.select(F.col(S.PLATFORM).alias("channel"), F.col(S.SOURCE_KEY).alias("source_key"))
+    shown = reduce(DataFrame.unionByName, read).join(own, ["channel", "source_key"], "left_semi")
+    return shown.select("channel", "source_key", "cell.*")
+
+
 def audit_price_bands(
     summary: DataFrame, channel: str = MAIN_CHANNEL, edges: Sequence[int] = AUDIT_BANDS
 ) -> DataFrame:

@@ -385,6 +385,23 @@ def _profile() -> str:
     )
 
 
+def _readings() -> str:
+    ranged = (
+        ("销售额", "amount_range", _midpoint("amount_range")),
+        ("销量", "count_range", _midpoint("count_range")),
+        ("件单价", "price_range", f"CASE WHEN ({_E_PRICE}) < 5000 AND ({_E_PRICE}) <> 0 THEN {_E_PRICE} END"),
+        ("浏览量", "visits_range", _midpoint("visits_range")),
+        ("转化率", "conv_range", f"CASE WHEN ({_E_CONV}) <= 100 THEN {_E_CONV} END"),
+    )
+    rows = [f"SELECT {_PLATFORM} AS channel, item_key, '{m}' AS metric, {c} AS raw_text, {v} AS value FROM f_sales_de" for m, c, v in ranged]
+    twice = "(SELECT * FROM f_sales_b UNION ALL SELECT * FROM f_sales_b WHERE item_key LIKE '%7') b"
+    rows.append(f"SELECT '天猫', item_key, '销量', volume_range, {_B_VOLUME} FROM {twice}")
+    return (
+        f"WITH {_MASTER} SELECT r.channel, r.item_key AS source_key, r.metric, r.raw_text, r.value FROM ({' UNION ALL '.join(rows)}) r "
+        "WHERE EXISTS (SELECT 1 FROM master m WHERE m.platform = r.channel AND m.source_key = r.item_key)"
+    )
+
+
 def _outcomes() -> str:
     text = (
         ("null_key", "SELECT COUNT(*) FROM fresh WHERE source IS NULL"),
@@ -695,6 +712,7 @@ ORACLE = {
         "JOIN master m ON r.item_key = m.source_key AND m.platform = '京东自营' JOIN summary s ON m.code = s.code AND s.channel = '京东自营' "
         "WHERE r.region = 3"
     ),
+    "dq_range_readings": _readings(),
     "dq_price_bands": (
         f"WITH {_SUMMARY} SELECT {_AUDIT_BAND} AS band, COUNT(*) AS cnt FROM summary WHERE channel = '京东自营' AND price IS NOT NULL GROUP BY 1"
     ),

@@ -712,6 +712,14 @@ def dq_raw_vs_parsed(spark, sf):
     return quality.raw_vs_parsed(_jd_self(spark, sf), _master(spark, sf))
 
 
+@query
+def dq_range_readings(spark, sf):
+    """All range channels; some products of one are sold twice."""
+    sales = sales_tables(spark, sf)
+    sales["天猫"] = sales["天猫"].unionByName(sales["天猫"].where("`商品编码` LIKE '%7'"))
+    return quality.range_readings(sales, _master(spark, sf))
+
+
 @query
 def dq_price_bands(spark, sf):
     return quality.audit_price_bands(_summary(spark, sf))
