@@ -1,7 +1,9 @@
 """Near copies by the share of word shingles: Jaccard similarity of ``SHINGLE``-word sets at or above ``SIMILARITY``.
 
-SimHash can't tell such pairs from others: at similarity 0.8 about a tenth of its 64 bits differ, give or take
-three, and a budget of 16 or more bits leaves no selective blocking key. Candidates come from MinHash instead:
+Candidates come from SimHash first: fingerprints of the same shingles that differ in at most ``simhash.BITS`` bits, found
+along pigeonring chains. Of texts with one fingerprint, each is held against one of them, which stands for it in the chains.
+At similarity 0.8 about a tenth of the 64 bits differ, give or take three, and a budget of 16 or more bits leaves no
+selective blocking key. Candidates that differ in more bits come from MinHash:
 ``BANDS`` keys of ``ROWS`` minima each, so a pair at similarity s shares no key with probability
 (1 - s ** ROWS) ** BANDS: 7 in a million at 0.8, and less above. Each candidate is then checked exactly on the two sets.
 
@@ -76,8 +78,9 @@ def _signatures(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         rows = []
         for text in texts:
             found = shingles(text)
-            rows.append((xxhash.xxh64_intdigest(found.tobytes(), seed=42) - (1 << 63), len(found), bands(found), parities(found)))
-        yield pd.DataFrame(rows, columns=["fp", "n", "bands", "odd"])
+            fp = xxhash.xxh64_intdigest(found.tobytes(), seed=42) - (1 << 63)
+            rows.append((fp, len(found), bands(found), parities(found), simhash.fingerprint(text, SHINGLE)))
+        yield pd.DataFrame(rows, columns=["fp", "n", "bands", "odd", "sim"])
 
 
 def _sets(text: Column) -> Column:
@@ -89,8 +92,8 @@ def _sets(text: Column) -> Column:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (id, text_key, fp, n, bands, odd) on shared storage; ``fp`` is a hash of the set, ``n`` its size."""
-    of = F.pandas_udf(_signatures, "fp long, n int, bands array<long>, odd array<long>")
+    """Rows (id, text_key, fp, n, bands, odd, sim) on shared storage: a hash of the set, its size, ..., the SimHash."""
+    of = F.pandas_udf(_signatures, "fp long, n int, bands array<long>, odd array<long>, sim long")
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), of(F.col(text)).alias("s"))
     return materialise(rows.select("id", "text_key", "s.*"), "signatures")
 
@@ -103,9 +106,35 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.where(common / (F.size("of_a") + F.size("of_b") - common) >= SIMILARITY).drop("of_a", "of_b")
 
 
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(fp, shingles) for the sets of ``wanted`` (fp, id, text_key, ...), on shared storage."""
+    needed = wanted.select("fp", F.col("id").alias("__id"), F.col("text_key").alias("__key"))
+    match = docs[id_col].eqNullSafe(needed["__id"]) & (F.xxhash64(docs[text]) == needed["__key"])
+    sets = docs.select(id_col, text).join(needed, match).select("fp", _sets(F.col(text)).alias("shingles"))
+    return materialise(sets.dropDuplicates(["fp"]), "shingles")
+
+
+def _of_heads(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """``pairs`` of SimHash fingerprints (a, b) as pairs of the sets that stand for them in ``heads`` (sim, head)."""
+    for side in "ab":
+        pairs = pairs.join(heads.select(F.col("sim").alias(side), F.col("head").alias(f"head_{side}")), side)
+    return pairs.drop("a", "b").withColumnsRenamed({"head_a": "a", "head_b": "b"})
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Each pair (a, b) with its components (ca, cb) once, the greater first."""
+    up = F.col("a") > F.col("b")
+    return pairs.select(
+        F.greatest("a", "b").alias("a"),
+        F.least("a", "b").alias("b"),
+        F.when(up, F.col("ca")).otherwise(F.col("cb")).alias("ca"),
+        F.when(up, F.col("cb")).otherwise(F.col("ca")).alias("cb"),
+    ).distinct()
+
+
 def set_components(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(fp, component) for the distinct sets of ``rows``, the signatures of ``docs``."""
-    first = F.min_by(F.struct("id", "text_key", "n", "bands", "odd"), F.struct("text_key", "id")).alias("r")
+    first = F.min_by(F.struct("id", "text_key", "n", "bands", "odd", "sim"), F.struct("text_key", "id")).alias("r")
     distinct = materialise(rows.groupBy("fp").agg(first).select("fp", "r.*"), "distinct-sets")
     keys = distinct.repartition(task_partitions(distinct), "fp").select("fp", "n", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
@@ -116,18 +145,25 @@ def set_components(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", tex
     centres = centres.select("key", F.col("c.fp").alias("b"), F.col("c.n").alias("m"))
     blocks = materialise(shared.drop("rows").join(centres, "key"), "blocks")
 
-    close = lambda n, m: F.least(n, m) / F.greatest(n, m) >= SIMILARITY
-    needed = distinct.join(blocks.select("fp").distinct(), "fp", "left_semi").select(
-        "fp", F.col("id").alias("__id"), F.col("text_key").alias("__key")
-    )
-    match = docs[id_col].eqNullSafe(needed["__id"]) & (F.xxhash64(docs[text]) == needed["__key"])
-    sets = docs.select(id_col, text).join(needed, match).select("fp", _sets(F.col(text)).alias("shingles"))
-    sets = materialise(sets.dropDuplicates(["fp"]), "shingles")
+    # SimHash: sets with the fingerprint of a head, and heads whose fingerprints agree outside one nibble.
+    heads = materialise(distinct.groupBy("sim").agg(F.min("fp").alias("head")), "heads")
+    copies = distinct.join(heads, "sim").where("fp <> head").select(F.col("fp").alias("a"), F.col("head").alias("b"))
+    nibbles = simhash._nibble_links(simhash._dealt(heads.select(F.col("sim").alias("fp"))))
+    near = materialise(copies.unionByName(_of_heads(nibbles, heads)), "near-fingerprints")
 
+    close = lambda n, m: F.least(n, m) / F.greatest(n, m) >= SIMILARITY
+    ends = blocks.select("fp").union(near.select("a")).union(near.select("b")).distinct()
+    sets = _shingle_sets(docs, distinct.join(ends, "fp", "left_semi"), id_col, text)
     stars = blocks.where((F.col("fp") != F.col("b")) & close(F.col("n"), F.col("m")))
-    stars = _alike(stars.select(F.col("fp").alias("a"), "b").distinct(), sets)
+    stars = _alike(stars.select(F.col("fp").alias("a"), "b").unionByName(near).distinct(), sets)
     tied = materialise(simhash._labelled(distinct.select("fp"), components(stars)), "tied-sets")
 
+    chains = simhash.chain_pairs(heads.join(tied.withColumnRenamed("fp", "head"), "head").select(F.col("sim").alias("fp"), "component"))
+    chains = materialise(_ordered(_of_heads(chains, heads)), "chains")
+    ends = chains.select(F.col("a").alias("fp")).union(chains.select("b")).distinct()
+    unread = distinct.join(ends, "fp", "left_semi").join(sets.select("fp"), "fp", "left_anti")
+    sets = sets.unionByName(_shingle_sets(docs, unread, id_col, text))
+
     found = blocks.select("key", "fp", "n").join(tied, "fp")
     mixed = found.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     found = materialise(found.join(mixed.where("low < high").select("key"), "key", "left_semi").join(distinct.select("fp", "odd"), "fp"), "mixed-blocks")
@@ -143,15 +179,10 @@ def set_components(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", tex
     own = sum(F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(WORDS))
     few = own * (1 + SIMILARITY) <= (1 - SIMILARITY) * (F.col("x.n") + F.col("y.n")) + 1e-6
     pairs = x.join(y, met & close(F.col("x.n"), F.col("y.n")) & few)
-    ends, of = (F.col("x.fp"), F.col("y.fp")), (F.col("x.component"), F.col("y.component"))
-    up = ends[0] > ends[1]
     pairs = pairs.select(
-        F.greatest(*ends).alias("a"),
-        F.least(*ends).alias("b"),
-        F.when(up, of[0]).otherwise(of[1]).alias("ca"),
-        F.when(up, of[1]).otherwise(of[0]).alias("cb"),
-    ).distinct()
-    links = _alike(pairs, sets).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb")
+    )
+    links = _alike(_ordered(pairs.unionByName(chains)), sets).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     merged = components(links).select(F.col("node").alias("component"), F.col("component").alias("root"))
     return tied.join(merged, "component", "left").select("fp", F.coalesce("root", "component").alias("component"))
 

@@ -143,8 +143,8 @@ def _labelled(fps: DataFrame, labels: DataFrame) -> DataFrame:
     return fps.join(found, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
 
 
-def chain_links(fps: DataFrame) -> DataFrame:
-    """Links (a, b) between fingerprints of different components of ``fps`` (fp, component)."""
+def chain_pairs(fps: DataFrame) -> DataFrame:
+    """Linked fingerprints (a, b) of different components (ca, cb) of ``fps`` (fp, component); a pair may come again."""
     rows = _blocked(_dealt(fps))
     mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = mixed.where("low < high").select("key")
@@ -164,8 +164,13 @@ def chain_links(fps: DataFrame) -> DataFrame:
         & chain_ok(F.col("a.fp").bitwiseXOR(F.col("b.fp")), start),
     )
     return pairs.select(
-        F.greatest("a.component", "b.component").alias("a"), F.least("a.component", "b.component").alias("b")
-    ).distinct()
+        F.col("a.fp").alias("a"), F.col("b.fp").alias("b"), F.col("a.component").alias("ca"), F.col("b.component").alias("cb")
+    )
+
+
+def chain_links(fps: DataFrame) -> DataFrame:
+    """Links (a, b) between the components of ``fps`` (fp, component), by fingerprints that link."""
+    return chain_pairs(fps).select(F.greatest("ca", "cb").alias("a"), F.least("ca", "cb").alias("b")).distinct()
 
 
 def fingerprint_components(fps: DataFrame) -> DataFrame:

@@ -591,6 +591,34 @@ def test_stage_finds_all_copies_at_similarity_of_four_fifths(spark, docs, empty)
     assert minhash.one_of_each(empty).count() == 0
 
 
+def test_near_copies_are_linked_by_simhash_without_a_common_minhash_key(spark):
+    """Fingerprints in one nibble, along a chain, and equal ones; a text of other words is near in bits, but not alike."""
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(600)]
+    repeated = "one two three four five " * 60
+    texts = [" ".join(words)]
+    for i in range(12):
+        texts.append(" ".join([*words[: 45 * i + 20], f"other{i}", *words[45 * i + 21 :]]))
+    texts += [repeated + " ".join(words[:9]), repeated + " ".join(words[90:99]), " ".join(reversed(words))]
+    bits = [simhash.fingerprint(t, minhash.SHINGLE) for t in texts]
+    sets = [set(minhash.shingles(t).tolist()) for t in texts]
+    near = lambda i, j: ((bits[i] ^ bits[j]) & (1 << 64) - 1).bit_count() <= simhash.BITS
+    alike = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= minhash.SIMILARITY
+    assert near(13, 14) and not alike(13, 14)
+    assert any(near(i, j) and alike(i, j) and bits[i] != bits[j] for i in range(13) for j in range(i))
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = minhash.signatures(docs).withColumn("bands", F.array(F.col("fp")))  # no two sets share a key
+    found = {r.id: r.component for r in rows.join(minhash.set_components(docs, rows), "fp").collect()}
+    expected = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if near(i, j) and alike(i, j) and expected[i] != expected[j]:
+                expected = [expected[j] if e == expected[i] else e for e in expected]
+    same = lambda of: {(i, j) for i in range(len(texts)) for j in range(i) if of[i] == of[j]}
+    assert same(found) == same(expected) and same(expected)
+
+
 # -- language model
 
 
