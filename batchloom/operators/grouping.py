@@ -56,15 +56,16 @@ def sequence_in_group(
 ) -> DataFrame:
     """Number the rows of each group from 1 in ``order``; a NULL group value is a group.
 
-    One way for groups of every size. The rows are stored once; only their group and order columns are sliced and
-    numbered, and the numbers come back to each row by its place in the store. Rows that are equal in group and
-    order get numbers of their own, in any order. ``slices`` sets how many slices are cut.
+    One way for groups of every size. ``df`` is evaluated once and its rows are stored once; only their group and
+    order columns are sliced and numbered, and the numbers come back to each row by its place in the store. Rows that
+    are equal in group and order get numbers of their own, in any order. ``slices`` sets how many slices are cut.
     """
     rows = _placed(materialise(df, "sequence-rows"))
     narrow = rows.select(*dict.fromkeys([*group, *order]), *_PLACE)
     numbered = _running_counts(narrow, group, [*order, *_PLACE], out, slices)
     numbers = numbered.select(*_PLACE, F.col(out).cast("int").alias(out))
-    return rows.join(numbers, _PLACE).select(*[rows[c] for c in df.columns], out)
+    # Places are unique, so the narrow side's hash tables are even, and the wide rows need no sort.
+    return rows.join(numbers.hint("shuffle_hash"), _PLACE).select(*[rows[c] for c in df.columns], out)
 
 
 #: A row's place in a stored table: no two rows share it, and reading again gives the same.

@@ -14,7 +14,6 @@ from batchloom import schemas as S
 from batchloom.functions.ranges import nonzero, normalise_ranges, within
 from batchloom.functions.text import strip, to_integer, to_number
 from batchloom.operators.grouping import sequence_in_group
-from batchloom.storage import materialise
 
 # Level 1 and 2 categories of every product in the master.
 LEVEL1 = "宠物用品"
@@ -154,8 +153,7 @@ def product_master(
     """
     unique = dedupe_results(union_channels(results, specs))
     named = attach_source_names(unique, source_names(sales, specs), specs)
-    parsed = materialise(parse_product_json(named), "products")
-    numbered = sequence_in_group(parsed, [S.BRAND, S.CAT_CODE], ["platform", "source_key"])
+    numbered = sequence_in_group(parse_product_json(named), [S.BRAND, S.CAT_CODE], ["platform", "source_key"])
     empty = F.lit("")
     return numbered.select(
         F.coalesce(S.BRAND, empty).alias(S.BRAND),

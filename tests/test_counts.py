@@ -207,3 +207,22 @@ def watch(spark, df):
             yield batch
 
     return df.mapInArrow(touched, df.schema), calls
+
+
+def test_product_master_stores_its_wide_rows_once_and_does_not_sort_them(spark):
+    import os
+
+    from batchloom.plans import channels
+    from batchloom.storage import work_folder
+
+    spec = channels.CHANNELS[1]
+    answer = '{"品牌":"a","类目编码":"x","规格":"2"}'
+    results = spark.createDataFrame([("1", answer), ("2", answer), (None, "no json")], [spec.key, "ai_result"])
+    sales = spark.createDataFrame([("1", "one"), ("1", "another"), ("2", "two")], [spec.key, spec.title])
+    folder = work_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    master = channels.product_master({spec.channel: results}, {spec.channel: sales})
+    stored = sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before)
+    assert stored == ["sequence-rows", "sequence-slices"]
+    assert "ShuffledHashJoin" in master._jdf.queryExecution().sparkPlan().toString()
+    assert master.count() == 3
