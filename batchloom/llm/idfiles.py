@@ -63,9 +63,15 @@ Index = dict[str, np.ndarray]
 
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits of the narrowest lane that holds each id; 64 if none does."""
+    if int(ids.max()) < len(_LOW_WIDTHS):
+        return _LOW_WIDTHS[ids]
     return _ROOM[np.searchsorted(_FULL, ids, side="right")]
 
 
+#: The same for ids of two bytes, which nearly all are, as a table.
+_LOW_WIDTHS = _ROOM[np.searchsorted(_FULL, np.arange(1 << 16, dtype=np.uint64), side="right")]
+
+
 def pack_block(ids: np.ndarray) -> tuple[np.ndarray, int]:
     """Words of one block of ids (uint64), the escaped ones last, and how many are escaped."""
     n = len(ids)
@@ -80,6 +86,8 @@ def pack_block(ids: np.ndarray) -> tuple[np.ndarray, int]:
             np.maximum(widest[:inside], widest[more:], out=widest[:inside])
             reach += more
         fits = widest <= bits if bits < width else np.True_
+        if not fits.any():  # nor do more ids fit narrower lanes
+            break
         step, chosen = np.where(fits, np.uint8(count), step), np.where(fits, np.uint8(selector), chosen)
     steps, starts, i = step.tolist(), [], 0
     while i < n:

@@ -286,3 +286,16 @@ def test_query_reads_back_what_the_library_encodes(spark):
         start += len(ids)
     found = queries.op12_token_files(spark, SF_DIR)
     assert sorted(map(tuple, found.select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == expected
+
+
+def test_ids_of_two_bytes_are_packed_without_a_search(monkeypatch):
+    ids = np.array([0, 1, 255, 256, 40_000, 65_535, 3] * 50, np.uint64)
+    expected = idfiles.pack_block(np.append(ids, np.uint64(1 << 40)))[0][:50].tolist()
+
+    def searched(*args, **kwargs):
+        raise AssertionError("searched")
+
+    monkeypatch.setattr(idfiles.np, "searchsorted", searched)
+    words, escaped = idfiles.pack_block(ids)
+    assert words[:50].tolist() == expected and escaped == 0
+    assert idfiles.unpack_block(words, escaped, len(ids)).tolist() == ids.tolist()
