@@ -101,7 +101,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs`` (a, b) of fingerprints whose ``sets`` (fp, shingles) are similar enough."""
     for side in "ab":
-        pairs = pairs.join(sets.select(F.col("fp").alias(side), F.col("shingles").alias(f"of_{side}")), side)
+        pairs = pairs.join(sets.select(F.col("fp").alias(side), F.col("shingles").alias(f"of_{side}")).hint("merge"), side)
     common = F.size(F.array_intersect("of_a", "of_b"))
     return pairs.where(common / (F.size("of_a") + F.size("of_b") - common) >= SIMILARITY).drop("of_a", "of_b")
 
@@ -117,7 +117,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str) ->
 def _of_heads(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     """``pairs`` of SimHash fingerprints (a, b) as pairs of the sets that stand for them in ``heads`` (sim, head)."""
     for side in "ab":
-        pairs = pairs.join(heads.select(F.col("sim").alias(side), F.col("head").alias(f"head_{side}")), side)
+        pairs = pairs.join(heads.select(F.col("sim").alias(side), F.col("head").alias(f"head_{side}")).hint("merge"), side)
     return pairs.drop("a", "b").withColumnsRenamed({"head_a": "a", "head_b": "b"})
 
 
@@ -133,45 +133,54 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def set_components(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(fp, component) for the distinct sets of ``rows``, the signatures of ``docs``."""
+    """(fp, component) for the distinct sets of ``rows``, the signatures of ``docs``.
+
+    What a set's keys need to know of it is joined while it is one row with a list of at most ``BANDS`` keys. Joins of small
+    tables merge: their broadcasts would stay in the driver's memory.
+    """
     first = F.min_by(F.struct("id", "text_key", "n", "bands", "odd", "sim"), F.struct("text_key", "id")).alias("r")
     distinct = materialise(rows.groupBy("fp").agg(first).select("fp", "r.*"), "distinct-sets")
     keys = distinct.repartition(task_partitions(distinct), "fp").select("fp", "n", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
-    shared = materialise(keys.join(shared, "key"), "shared-keys")
-    weights = shared.groupBy("fp").agg(F.sum("rows").alias("weight"))
-    weighed = shared.drop("rows").join(weights, "fp")
+    shared = keys.join(shared.hint("merge"), "key").groupBy("fp").agg(
+        F.first("n").alias("n"), F.sum("rows").alias("weight"), F.collect_list("key").alias("keys")
+    )
+    shared = materialise(shared, "shared-keys")
+    weighed = shared.select("fp", "n", "weight", F.explode("keys").alias("key"))
     centres = weighed.groupBy("key").agg(F.max(F.struct("weight", "fp", "n")).alias("c"))
     centres = centres.select("key", F.col("c.fp").alias("b"), F.col("c.n").alias("m"))
-    blocks = materialise(shared.drop("rows").join(centres, "key"), "blocks")
 
     # SimHash: sets with the fingerprint of a head, and heads whose fingerprints agree outside one nibble.
     heads = materialise(distinct.groupBy("sim").agg(F.min("fp").alias("head")), "heads")
-    copies = distinct.join(heads, "sim").where("fp <> head").select(F.col("fp").alias("a"), F.col("head").alias("b"))
+    copies = distinct.join(heads.hint("merge"), "sim").where("fp <> head").select(F.col("fp").alias("a"), F.col("head").alias("b"))
     nibbles = simhash._nibble_links(simhash._dealt(heads.select(F.col("sim").alias("fp"))))
     near = materialise(copies.unionByName(_of_heads(nibbles, heads)), "near-fingerprints")
 
     close = lambda n, m: F.least(n, m) / F.greatest(n, m) >= SIMILARITY
-    ends = blocks.select("fp").union(near.select("a")).union(near.select("b")).distinct()
-    sets = _shingle_sets(docs, distinct.join(ends, "fp", "left_semi"), id_col, text)
-    stars = blocks.where((F.col("fp") != F.col("b")) & close(F.col("n"), F.col("m")))
+    ends = shared.select("fp").union(near.select("a")).union(near.select("b")).distinct()
+    sets = _shingle_sets(docs, distinct.join(ends.hint("merge"), "fp", "left_semi"), id_col, text)
+    stars = weighed.join(centres.hint("merge"), "key").where((F.col("fp") != F.col("b")) & close(F.col("n"), F.col("m")))
     stars = _alike(stars.select(F.col("fp").alias("a"), "b").unionByName(near).distinct(), sets)
     tied = materialise(simhash._labelled(distinct.select("fp"), components(stars)), "tied-sets")
 
-    chains = simhash.chain_pairs(heads.join(tied.withColumnRenamed("fp", "head"), "head").select(F.col("sim").alias("fp"), "component"))
+    led = heads.join(tied.withColumnRenamed("fp", "head").hint("merge"), "head")
+    chains = simhash.chain_pairs(led.select(F.col("sim").alias("fp"), "component"))
     chains = materialise(_ordered(_of_heads(chains, heads)), "chains")
     ends = chains.select(F.col("a").alias("fp")).union(chains.select("b")).distinct()
-    unread = distinct.join(ends, "fp", "left_semi").join(sets.select("fp"), "fp", "left_anti")
+    unread = ends.join(sets.select("fp").hint("merge"), "fp", "left_anti")
+    unread = distinct.join(unread.hint("merge"), "fp", "left_semi")
     sets = sets.unionByName(_shingle_sets(docs, unread, id_col, text))
 
-    found = blocks.select("key", "fp", "n").join(tied, "fp")
+    found = shared.join(tied.hint("merge"), "fp").join(distinct.select("fp", "odd").hint("merge"), "fp")
+    found = found.select("fp", "n", "component", "odd", F.explode("keys").alias("key"))
     mixed = found.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    found = materialise(found.join(mixed.where("low < high").select("key"), "key", "left_semi").join(distinct.select("fp", "odd"), "fp"), "mixed-blocks")
+    mixed = mixed.where("low < high").select("key")
+    found = materialise(found.join(mixed.hint("merge"), "key", "left_semi"), "mixed-blocks")
     sizes = found.groupBy("key", "component").count()
     largest = sizes.groupBy("key").agg(F.max(F.struct("count", "component")).alias("m")).select(
         "key", F.col("m.component").alias("largest")
     )
-    x, y = found.join(largest, "key").where("component <> largest").alias("x"), found.alias("y")
+    x, y = found.join(largest.hint("merge"), "key").where("component <> largest").alias("x"), found.alias("y")
     # Each pair of a block once: rows of its largest component are on one side only, others meet in the order of fp.
     once = (F.col("y.component") == F.col("x.largest")) | (F.col("x.fp") > F.col("y.fp"))
     met = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & once

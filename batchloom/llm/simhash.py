@@ -99,29 +99,22 @@ def chain_ok(x: Column, start: Column) -> Column:
 def _blocked(fps: DataFrame) -> DataFrame:
     """``fps`` (fp, component) with a row for each key: as it is, and with a set bit of the second segment cleared.
 
-    Of two fingerprints that differ in one bit there, the one that has it set meets the other's own key.
+    Of two fingerprints that differ in one bit there, the one that has it set meets the other's own key. Starts and bits
+    are two short lists: spelt out, the 69 keys make plans and generated code that fill the driver's memory.
     """
-    fp, keys = F.col("fp"), []
-    for i in range(len(SEGMENTS)):
-        own = F.lit(i << 26).cast("long") + F.shiftleft(_bits(fp, i), 13) + _bits(fp, i + 1)
-        keys.append(F.struct(own.alias("key"), F.lit(True).alias("own")))
-        for bit in range(SEGMENTS[(i + 1) % len(SEGMENTS)][1]):
-            cleared = F.when(own.bitwiseAND(F.lit(1 << bit).cast("long")) != 0, own - (1 << bit))
-            keys.append(F.struct(cleared.alias("key"), F.lit(False).alias("own")))
-    return fps.select("fp", "component", F.explode(F.array(*keys)).alias("k")).select("fp", "component", "k.*").where(
-        "key IS NOT NULL"
-    )
+    fp, n = F.col("fp"), len(SEGMENTS)
+    starts = F.array(*(F.lit(i << 26).cast("long") + F.shiftleft(_bits(fp, i), 13) + _bits(fp, i + 1) for i in range(n)))
+    bits = F.array(*(F.lit(b).cast("long") for b in (0, *(1 << i for i in range(max(w for _, w in SEGMENTS))))))
+    rows = fps.select("fp", "component", F.explode(starts).alias("of")).select("*", F.explode(bits).alias("bit"))
+    rows = rows.where("bit = 0 OR (of & bit) <> 0")
+    return rows.select("fp", "component", (F.col("of") - F.col("bit")).alias("key"), (F.col("bit") == 0).alias("own"))
 
 
 def _nibble_links(fps: DataFrame) -> DataFrame:
     """Ties between fingerprints that agree outside one nibble, to the least of them."""
-    keys = F.array(
-        *(
-            F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(~(0xF << 4 * k)))).alias("rest"))
-            for k in range(16)
-        )
-    )
-    rows = fps.select("fp", F.explode(keys).alias("key")).select("fp", "key.k", "key.rest")
+    outside = F.array(*(F.lit(_signed(~(0xF << 4 * k))).cast("long") for k in range(16)))
+    rows = fps.select("fp", F.posexplode(outside).alias("k", "mask"))
+    rows = rows.select("fp", "k", F.col("fp").bitwiseAND(F.col("mask")).alias("rest"))
     groups = rows.groupBy("k", "rest").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least < most")
     return rows.join(groups.drop("most"), ["k", "rest"]).where("fp <> least").select(
         F.col("fp").alias("a"), F.col("least").alias("b")

@@ -531,6 +531,33 @@ def test_dense_groups_of_fingerprints(spark):
     assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
 
 
+def test_chain_keys_equal_brute_force_from_a_short_plan(spark):
+    rng = random.Random(14)
+    values = [0, (1 << 64) - 1, 1 << 63, *(rng.getrandbits(64) for _ in range(50))]
+    expected = set()
+    for v in values:
+        parts = [v >> offset & (1 << width) - 1 for offset, width in simhash.SEGMENTS]
+        for i, (a, b) in enumerate(zip(parts, parts[1:] + parts[:1])):
+            expected.add((v, i << 26 | a << 13 | b, True))
+            expected |= {(v, i << 26 | a << 13 | b ^ 1 << k, False) for k in range(13) if b >> k & 1}
+    fps = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v, 0) for v in values], "fp long, component long")
+    rows = simhash._blocked(fps)
+    got = [(r.fp % (1 << 64), r.key, r.own) for r in rows.collect()]
+    assert set(got) == expected and len(got) == len(expected)
+    assert len(rows._jdf.queryExecution().executedPlan().toString()) < 4000
+
+
+def test_keys_of_a_set_are_kept_as_one_row(spark, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*words[:k], f"n{k}", *words[k + 1 :]]) for k in range(6)]
+    stored, write = {}, minhash.materialise
+    monkeypatch.setattr(minhash, "materialise", lambda df, label: stored.setdefault(label, write(df, label)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.component_id for r in minhash.near_copies(docs).collect()} == {0}
+    rows = stored["shared-keys"].collect()
+    assert len(rows) == len({r.fp for r in rows}) == 6 and "blocks" not in stored
+
+
 def test_components_of_a_long_path(spark):
     pairs = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
