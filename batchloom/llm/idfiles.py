@@ -15,18 +15,17 @@ block's offset is kept, blocks are decoded each on its own and all words of one
 Null and empty texts have the end id alone. Documents with null ids come first. Documents with equal ids follow each
 other by the hash of their text; repeated rows are all written. Columns other than ``doc_id`` and the text are not
 read, whatever their names. An empty table gives no segments. Memory follows ``SEGMENT_IDS`` and the longest document's
-ids, texts being encoded in parts that end before white space.
+ids, texts being encoded in groups of ``PART_CHARS``, and longer ones in parts that end before white space.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import sys
 import zlib
-from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from batchloom.llm.bpe import SPLIT, SPLIT_ASCII, byte_symbols
+from batchloom.llm.bpe import byte_symbols
 from batchloom.llm.common import task_partitions
 from batchloom.storage import inline_rows, materialise
 
@@ -54,6 +53,8 @@ SEGMENT_IDS = 1_000_000
 FILE_TEXT_BYTES = 128 << 20
 PART_CHARS = 1_000_000
 CACHED_WORDS = 300_000
+#: A byte that no text in UTF-8 holds, and how many words it joins.
+BETWEEN, JOINED_WORDS = b"\xff", 32
 
 Index = dict[str, np.ndarray]
 
@@ -178,26 +179,72 @@ def segment_ids(head: dict[str, int], tables: Index, words: np.ndarray) -> np.nd
 # -- the library's ids
 
 
-class _Cache(dict):
+class _Cache:
     """Ids of words met before, as bytes. When it is full it becomes the older generation, so frequent words stay."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        self._encode, self._older = encode, {}
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]]):
+        self._encode, self._words, self._older = encode, {}, {}
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self._older = dict(self)
-            self.clear()
-        ids = self._older.get(word)
-        self[word] = ids = self._encode(word) if ids is None else ids
-        return ids
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words; those not met before are encoded together."""
+        made = list(map(self._words.get, words))
+        missed = [word for word, ids in zip(words, made) if ids is None]
+        if not missed:
+            return made
+        found = {word: ids for word in missed if (ids := self._older.get(word)) is not None}
+        new = [word for word in missed if word not in found]
+        found.update(zip(new, self._encode(new)))
+        if len(self._words) + len(found) > CACHED_WORDS:
+            self._words, self._older = {}, self._words
+        self._words.update(islice(found.items(), CACHED_WORDS))
+        return [found[word] if ids is None else ids for word, ids in zip(words, made)]
+
+
+#: What a code point is to the vocabulary's pattern; MARK stands behind every text.
+OTHER, BLANK, NUMBER, LETTER, MARK = range(5)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Kind of every code point, as the matcher of ``bpe.SPLIT`` has it."""
+    points, kinds = "".join(map(chr, range(sys.maxunicode + 1))), np.full(sys.maxunicode + 1, OTHER, np.uint8)
+    for kind, pattern in ((BLANK, r"\s+"), (NUMBER, r"\p{N}+"), (LETTER, r"\p{L}+")):
+        for run in regex.finditer(pattern, points):
+            kinds[run.start() : run.end()] = kind
+    return kinds
+
+
+def word_starts(points: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Where the words of ``bpe.SPLIT`` start in code points of texts, for all texts at once.
+
+    Each text ends with one more code point, at ``marks``, which counts as a word.
+    """
+    kinds = _kinds()[points]
+    kinds[marks] = MARK
+    starts = np.append(True, kinds[1:] != kinds[:-1])
+    starts[marks] = True
+    # the last white space before a word stands alone; a space goes with the word
+    last = np.flatnonzero((kinds[:-1] == BLANK) & (kinds[1:] != BLANK) & (kinds[1:] != MARK))
+    starts[last] = True
+    starts[last[points[last] == ord(" ")] + 1] = False
+    # an apostrophe that starts a word takes the letters of a contraction from those behind it
+    quotes = np.flatnonzero(points == ord("'"))
+    quotes = quotes[starts[quotes] & (kinds[quotes + 1] == LETTER)]
+    one, two = points[quotes + 1], points[quotes + 2]
+    long = np.isin(one, [ord("r"), ord("v")]) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    taken = np.where(long, 2, np.isin(one, [ord(c) for c in "stmd"]))
+    quotes, taken = quotes[taken > 0], taken[taken > 0]
+    starts[quotes + 1] = False
+    starts[quotes + 1 + taken] = True
+    return starts
 
 
 class LibraryIds:
     """Ids of the tokenizers library for a byte-level vocabulary.
 
-    The library's model merges each distinct word once; words are split off by the vocabulary's pattern. Only texts
-    that hold special tokens go through the library whole.
+    The library's model merges each distinct word once; words are split off by the vocabulary's pattern, those of many
+    texts at once, and each distinct one among them is looked up once. Only texts that hold special tokens go through
+    the library whole.
     """
 
     def __init__(self, path: str):
@@ -209,22 +256,32 @@ class LibraryIds:
         self._library.no_padding()
         specials = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
-        self._find = regex.compile(SPLIT).findall
-        self._find_ascii = re.compile(SPLIT_ASCII, re.ASCII).findall
         self._cut = regex.compile(r"(?<=\S)[ \n]")
-        self._merged = self._library.model.tokenize
+        self._model = model = self._library.model
         self._symbols = dict(enumerate(byte_symbols()))
-        self._words = _Cache(self._word)
+        between = self._symbols[BETWEEN[0]]
+        plain = not (model.ignore_merges or model.continuing_subword_prefix or model.end_of_word_suffix)
+        holders = [id for token, id in self._library.get_vocab(False).items() if between in token]
+        self._between = model.token_to_id(between) if plain and len(holders) == 1 else None
+        self._cache = _Cache(self._merged)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        symbols = word.encode().decode("latin-1").translate(self._symbols)
-        ids = array("I", [token.id for token in self._merged(symbols)])
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+    def _tokens(self, word: bytes) -> list[int]:
+        return [token.id for token in self._model.tokenize(word.decode("latin-1").translate(self._symbols))]
+
+    def _merged(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words by the library's model, some words in a call: it merges nothing with the byte between them."""
+        if self._between is None:
+            return [np.array(self._tokens(word), "<u4").tobytes() for word in words]
+        ids = []
+        for i in range(0, len(words), JOINED_WORDS):
+            ids += self._tokens(BETWEEN.join(words[i : i + JOINED_WORDS]))
+            ids.append(self._between)
+        ids = np.array(ids, "<u4")
+        ends, ids = (4 * np.flatnonzero(ids == self._between)).tolist(), ids.tobytes()
+        return [ids[a:b] for a, b in zip([0, *(end + 4 for end in ends)], ends)]
 
     def _parts(self, text: str) -> Iterator[str]:
         start = 0
@@ -233,14 +290,56 @@ class LibraryIds:
             start = cut.start()
         yield text[start:]
 
+    def _split(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text, none of which holds a special token."""
+        if not texts:
+            return []
+        joined = "".join(f"{t}\0" for t in texts)
+        points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        marks = np.cumsum([len(t) + 1 for t in texts]) - 1
+        starts = np.flatnonzero(word_starts(points, marks))
+        offsets, marks = starts, np.searchsorted(starts, marks)
+        if not joined.isascii():
+            sizes = np.ones(len(points), np.uint8)
+            for more in (0x80, 0x800, 0x10000):
+                sizes += points >= more
+            offsets = np.cumsum(sizes, dtype=np.int64)[starts] - sizes[starts]
+        data = joined.encode()
+        buffers = [None, pa.py_buffer(np.append(offsets, len(data)).astype(np.int64)), pa.py_buffer(data)]
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        made = self._cache.of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        word = words.indices.to_numpy()
+        counts = sizes[word]
+        counts[marks] = 0
+        ends = np.cumsum(counts)
+        firsts = (np.cumsum(sizes) - sizes)[word]
+        at = np.repeat(firsts - ends + counts, counts) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(made), "<u4")[at].tobytes()
+        cuts = (4 * ends[marks]).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def encode_many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of whole texts, each as little-endian unsigned 32-bit integers. A text with special tokens isn't split."""
+        group, chars = [], 0
+        for text in texts:
+            text = text or ""
+            special = self._special and self._special.search(text)
+            alone = special or len(text) > PART_CHARS
+            if alone or chars + len(text) > PART_CHARS:
+                yield from self._split(group)
+                group, chars = [], 0
+            if special:
+                yield self._whole(text)
+            elif alone:
+                yield b"".join(self._split([part])[0] for part in self._parts(text))
+            else:
+                group.append(text)
+                chars += len(text)
+        yield from self._split(group)
+
     def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers. A text with special tokens isn't split."""
-        if not text:
-            return b""
-        if self._special and self._special.search(text):
-            return self._whole(text)
-        word = self._words.__getitem__
-        return b"".join(b"".join(map(word, (self._find_ascii if p.isascii() else self._find)(p))) for p in self._parts(text))
+        return next(self.encode_many([text]))
 
 
 @lru_cache(maxsize=2)
@@ -267,7 +366,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0,
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, file = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
-        encode = library(path).encode
+        encode_many = library(path).encode_many
         doc_ids, parts, size = [], [], 0
 
         def segment() -> pa.RecordBatch:
@@ -276,10 +375,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0,
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["segment"])
 
         for batch in batches:
-            texts = batch.column("text")
-            for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+            texts = (text.as_py() for text in batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode_many(texts)):
                 doc_ids.append(doc_id)
-                parts.append(encode(texts[i].as_py()) + end)
+                parts.append(ids + end)
                 size += len(parts[-1]) // 4
                 if size >= SEGMENT_IDS:
                     yield segment()

@@ -9,11 +9,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from batchloom.llm import idfiles, laesa, pqcodes, queries
+from batchloom.llm import bpe, idfiles, laesa, pqcodes, queries
 from batchloom.storage import work_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -299,3 +300,55 @@ def test_ids_of_two_bytes_are_packed_without_a_search(monkeypatch):
     words, escaped = idfiles.pack_block(ids)
     assert words[:50].tolist() == expected and escaped == 0
     assert idfiles.unpack_block(words, escaped, len(ids)).tolist() == ids.tolist()
+
+
+def test_each_distinct_word_is_looked_up_once(monkeypatch):
+    library = Tokenizer.from_file(PATH)
+    calls = []
+
+    class Model:
+        def __getattr__(self, name):
+            return getattr(library.model, name)
+
+        def tokenize(self, symbols):
+            calls.append(symbols)
+            return library.model.tokenize(symbols)
+
+    class Library:
+        model = Model()
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+    monkeypatch.setattr("tokenizers.Tokenizer.from_file", lambda path: Library())
+    words = [f"{a}{b}" for a in "abcdefghijklmnop" for b in "qrstuvwxyz"]
+    text = " ".join(words * 20)
+    assert np.frombuffer(idfiles.LibraryIds(PATH).encode(text), "<u4").tolist() == library_ids(text)
+    assert 0 < len(calls) < len(words) / 8 and sum(map(len, calls)) < 2 * len(" ".join(words))
+
+
+MIXED = st.text(st.sampled_from("aslrvetmdZé日é1²৩Ⅷ'’\"!_ \u00a0\u3000\u2028\n\r\t\x1c\x85\0😀𝔸ÿ"), max_size=40)
+
+
+@given(st.lists(st.one_of(MIXED, st.text(max_size=20)), min_size=1, max_size=5))
+@settings(max_examples=400, deadline=None)
+def test_words_are_those_of_the_pattern(texts):
+    points = np.array([ord(c) for t in texts for c in t + "\0"], np.uint32)
+    marks = np.cumsum([len(t) + 1 for t in texts]) - 1
+    expected = np.cumsum([0] + [len(w) for t in texts for w in [*regex.findall(bpe.SPLIT, t), "\0"]])[:-1]
+    assert np.flatnonzero(idfiles.word_starts(points, marks)).tolist() == expected.tolist()
+
+
+def test_many_texts_and_single_words_have_the_same_ids(monkeypatch):
+    rng = random.Random(8)
+    odd = ["it's", "'re", "''s", " 's", "x'lly", "\n's", "\0", "ÿ", "\x1c", "  \n x", "²", "\u3000a", "😀😀", "<|endoftext|>", "zürich"]
+    mixed = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 12))) for _ in range(300)] + texts()
+    expected = [library_ids(t) for t in mixed]
+    for part_chars, cached, between in ((1_000_000, 300_000, True), (40, 5, True), (200, 300_000, False)):
+        monkeypatch.setattr(idfiles, "PART_CHARS", part_chars)
+        monkeypatch.setattr(idfiles, "CACHED_WORDS", cached)
+        library = idfiles.LibraryIds(PATH)
+        assert library._between is not None
+        library._between = library._between if between else None
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in library.encode_many(mixed)] == expected
+    assert np.frombuffer(library.encode(None), "<u4").tolist() == [] and list(library.encode_many([])) == []
