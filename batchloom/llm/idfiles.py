@@ -207,7 +207,8 @@ OTHER, BLANK, NUMBER, LETTER, MARK = range(5)
 @lru_cache(maxsize=1)
 def _kinds() -> np.ndarray:
     """Kind of every code point, as the matcher of ``bpe.SPLIT`` has it."""
-    points, kinds = "".join(map(chr, range(sys.maxunicode + 1))), np.full(sys.maxunicode + 1, OTHER, np.uint8)
+    points = np.arange(sys.maxunicode + 1, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    kinds = np.full(len(points), OTHER, np.uint8)
     for kind, pattern in ((BLANK, r"\s+"), (NUMBER, r"\p{N}+"), (LETTER, r"\p{L}+")):
         for run in regex.finditer(pattern, points):
             kinds[run.start() : run.end()] = kind
